@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, mixing, packing, sharding
+from . import chat, fingerprint, language, mixing, packing, sharding, simhash
 from .common import table
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -26,11 +30,22 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_query(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language": op1_language,
     "op2_packing": op2_packing,
     "op5_mixing": op5_mixing,
     "op6_sharding": op6_sharding,
     "op7_fingerprints": op7_fingerprints,
+    "op8_simhash": op8_simhash,
+    "op9_chat": op9_chat,
 }
 
 ORACLES: dict[str, Callable[[], str]] = {

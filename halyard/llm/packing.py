@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import heapq
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 LENGTH, POOL, END = 2048, 256, 1
 #: Cost of a piece of n tokens: LINEAR * n + n * n, as attention sees pieces apart.
 LINEAR = 4096
-MAX_WORDS = 400_000
+MAX_WORDS = 800_000
 _TRAIL = ".,!?;:&$%*#|"
 
 
@@ -38,66 +40,90 @@ class WordTokenizer:
 
     The vocabulary drops white space, so no token spans two words: encoding words apart
     and joining the ids is exact. A word is split further only between letters and a
-    tail of ASCII punctuation, where the vocabulary's own rule always cuts.
+    tail of ASCII punctuation, where the vocabulary's own rule always cuts. Words that
+    are nothing but letters, lower-cased and composed, are all that its normaliser and
+    its splitter would leave whole, so they go straight to its merges, many at once.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
+        self.merges = Tokenizer.from_file(path)
+        self.merges.normalizer = normalizers.Sequence([])
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {"": b""}
 
-    def _encode(self, words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         """Fill the cache for words not in it."""
-        stems, tails, whole, parts = set(), set(), [], []
-        cache = self.cache
+        cache, stems, whole, parts = self.cache, set(), set(), []
         for w in words:
             stem = w.rstrip(_TRAIL)
-            low = stem.lower() if stem.isascii() else stem
-            if stem and low.isalpha():
-                tail = w[len(stem) :]
+            if stem.isascii():
+                low = stem.lower()
+            else:
+                stem = unicodedata.normalize("NFC", stem) if "\u03a3" not in stem else ""
+                low = stem.lower()
+            if low.isalpha():
+                tail = w[len(w.rstrip(_TRAIL)) :]
+                if not tail and low == w:
+                    stems.add(w)
+                    continue
                 parts.append((w, low, tail))
                 if low not in cache:
                     stems.add(low)
                 if tail not in cache:
-                    tails.add(tail)
+                    whole.add(tail)
             else:
-                whole.append(w)
-        stems, whole = list(stems), whole + list(tails)
-        for i in range(0, len(stems), 20_000):
-            some = stems[i : i + 20_000]
-            ids = np.array(self.tok.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
-            at = np.flatnonzero(self.ends[ids]) + 1
-            if len(at) != len(some):  # a letter by one table only: the words are not one token group each
-                whole += some
+                whole.add(w)
+        stems = list(stems)
+        lots = [stems[i : i + 1000] for i in range(0, len(stems), 1000)]
+        for some, e in zip(lots, self.merges.encode_batch_fast([" ".join(x) for x in lots], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.uint32)
+            at = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(at) != len(some):  # not one token group for each word: leave it to the tokenizer
+                whole.update(some)
                 continue
-            start = 0
-            raw = ids.astype("<u4").tobytes()
-            for w, stop in zip(some, (at * 4).tolist(), strict=True):
+            raw, start = ids.astype("<u4").tobytes(), 0
+            for w, stop in zip(some, at.tolist(), strict=True):
                 cache[w] = raw[start:stop]
                 start = stop
+        whole = list(whole)
         for w, e in zip(whole, self.tok.encode_batch_fast(whole, add_special_tokens=False), strict=True):
             cache[w] = np.array(e.ids, "<u4").tobytes()
         for w, low, tail in parts:
             cache[w] = cache[low] + cache[tail]
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
+    def ids(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, where each text's ids begin and the last ends); null is empty.
+
+        The distinct words of the texts are looked up once; the rest is array work."""
         if len(self.cache) > MAX_WORDS:
             self.cache = {"": b""}
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new: set[str] = set()
-        for w in split:
-            new.update(w)
-        new.difference_update(self.cache)
-        if new:
-            self._encode(sorted(new))
-        get = self.cache.__getitem__
-        return [b"".join(map(get, w)) for w in split]
+        cache = self.cache
+        words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " "), " ")
+        ends = words.offsets.to_numpy()[1:] - words.offsets[0].as_py()
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if new := [w for w in distinct if w not in cache]:
+            self._learn(new)
+        parts = [cache[w] for w in distinct]
+        at = coded.indices.to_numpy().astype(np.int64)
+        if end is not None:
+            parts.append(int(end).to_bytes(4, "little"))
+            at = np.insert(at, ends, len(distinct))
+            ends = ends + np.arange(1, len(ends) + 1)
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        first = np.cumsum(size) - size
+        known = np.frombuffer(b"".join(parts), "<u4")
+        n = size[at]
+        stop = np.cumsum(n)
+        flat = known[np.repeat(first[at] - (stop - n), n) + np.arange(n.sum())]
+        return flat, np.concatenate(([0], stop))[np.concatenate(([0], ends))]
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -146,40 +172,54 @@ def powers(n: int) -> list[int]:
 _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
 
 
+#: Bytes of text that are tokenized at once, unless one text is longer.
+LOT = 4_000_000
+
+
+def _lots(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        done = size[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(size, done + LOT, "right")))
+        yield at, stop
+        at = stop
+
+
 def _packer(path: str, length: int, pool: int, end: int | None):
-    tail = b"" if end is None else int(end).to_bytes(4, "little")
+    names = [c.split()[0] for c in _SCHEMA.split(", ")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(path)
         base = TaskContext.get().partitionId() << 40
         seq, held, tokens = 0, [], 0  # held: (doc_id, ids, start) still to be packed
 
-        def close(rooms: list[int]) -> pd.DataFrame:
+        def close(rooms: list[int]) -> pa.RecordBatch:
             nonlocal seq, held, tokens
             want, pieces, kept = sum(rooms), [], []
-            for k, (_, ids, start) in enumerate(held):
-                n = len(ids) // 4 - start
+            for k, (doc_id, ids, start) in enumerate(held):
+                n = len(ids) - start
                 take = min(n, want)
                 want -= take
                 if take:
                     pieces.append((k, start, take))
                 if take < n:
-                    kept.append((held[k][0], ids, start + take))
+                    kept.append((doc_id, ids, start + take))
             rows = []
             for k, start, n, s, offset in pack_pool(pieces, rooms):
                 doc_id, ids, _ = held[k]
-                rows.append((doc_id, start, n, zlib.crc32(memoryview(ids)[start * 4 : (start + n) * 4]), len(ids) // 4, base + seq + s, offset, rooms[s]))
+                rows.append((doc_id, start, n, zlib.crc32(ids[start : start + n]), len(ids), base + seq + s, offset, rooms[s]))
             seq += len(rooms)
             held, tokens = kept, tokens - sum(rooms)
-            out = pd.DataFrame(rows, columns=[c.split()[0] for c in _SCHEMA.split(", ")])
-            return out.astype({"doc_id": "Int64"})
-
-        for pdf in batches:
-            texts = ["" if t is None else t for t in pdf["text"]]
-            for i in range(0, len(texts), 500):
-                for doc_id, ids in zip(pdf["doc_id"].iloc[i : i + 500], tok.ids(texts[i : i + 500]), strict=True):
-                    held.append((None if pd.isna(doc_id) else int(doc_id), ids + tail, 0))
-                    tokens += len(ids) // 4 + (end is not None)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names)
+
+        for batch in batches:
+            doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            for a, b in _lots(texts):
+                flat, at = tok.ids(texts.slice(a, b - a), end)
+                for doc_id, i, j in zip(doc_ids[a:b], at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    held.append((doc_id, flat[i:j], 0))
+                    tokens += j - i
                     while tokens >= pool * length:
                         yield close([length] * pool)
         full, rest = divmod(tokens, length)
@@ -199,4 +239,4 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, length: int = LENGT
     rows are packed each. An empty table gives no sequence. Other columns are left out.
     """
     path = tokenizer_path or default_tokenizer()
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInPandas(_packer(path, length, pool, end), _SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(_packer(path, length, pool, end), _SCHEMA)

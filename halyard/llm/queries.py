@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, fingerprint, language, mixing, packing, sharding, simhash
+from . import chat, fingerprint, language, mixing, packing, quality, sharding, simhash
 from .common import table
 
 
@@ -38,6 +38,10 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_query(table(spark, sf_dir, "conversations"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_packing": op2_packing,
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_fingerprints": op7_fingerprints,
     "op8_simhash": op8_simhash,
     "op9_chat": op9_chat,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, Callable[[], str]] = {

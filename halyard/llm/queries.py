@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, fingerprint, language, mixing, packing, quality, sharding, simhash
+from . import chat, fingerprint, language, lm, mixing, packing, quality, sharding, simhash
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_query(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_packing": op2_packing,
+    "op4_lm": op4_lm,
     "op5_mixing": op5_mixing,
     "op6_sharding": op6_sharding,
     "op7_fingerprints": op7_fingerprints,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, fingerprint, language, lm, mixing, packing, quality, sharding, simhash
+from . import chat, fingerprint, language, lm, mixing, mtree, packing, quality, sharding, simhash
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_products(table(spark, sf_dir, "embeddings"))
+
+
 def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_packing": op2_packing,
+    "op3_mtree": op3_mtree,
     "op4_lm": op4_lm,
     "op5_mixing": op5_mixing,
     "op6_sharding": op6_sharding,
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
+    "op3_mtree": lambda: mtree.top_products_sql(),
     "op5_mixing": mixing.mixing_sql,
     "op6_sharding": sharding.sharding_sql,
 }

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from .common import ascii_words, materialise, release
+from .fingerprint import shingle_hashes
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
 #: A half's variant shared by more distinct fingerprints than this is handled by full balls.
@@ -161,3 +162,76 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -
     by_fp = joined.join(smallest, "root").select(F.col("fp").alias("_fp"), "component_id")
     out = rows.join(by_fp, rows["fp"] == by_fp["_fp"])
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: The stage's similarity: resemblance of five-word shingle sets, estimated on SKETCH
+#: smallest hashes (exact up to as many shingles). Estimates within one standard error count.
+SIMILARITY, SKETCH, WORDS = 0.8, 256, 5
+_MARKS = b".,;:!?\"'()"
+
+
+def word_simhash(text: str | None) -> int:
+    """SimHash of single words, without marks at their ends, each as often as it stands.
+    A few changed words move it little, so copies with some edits stay within a few bits."""
+    words = [w.strip(_MARKS) for w in ascii_words(text)]
+    if not words:
+        return 0
+    hashes = np.fromiter(map(_word_hashes.__getitem__, words), np.uint64, len(words)).astype(">u8")
+    ones = np.zeros(64, np.int64)
+    for i in range(0, len(hashes), 65_536):
+        ones += np.unpackbits(hashes[i : i + 65_536].view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(ones * 2 > len(hashes)).tobytes(), "big")
+
+
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 300_000:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word, SEED)
+        return h
+
+
+_word_hashes = _WordHashes()
+
+
+@F.pandas_udf(T.StructType([T.StructField("fp", T.LongType()), T.StructField("sketch", T.ArrayType(T.LongType()))]))
+def _traits(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for texts in parts:
+        fps = np.array([word_simhash(t) for t in texts], np.uint64).view(np.int64)
+        yield pd.DataFrame({"fp": fps, "sketch": [(shingle_hashes(t, WORDS)[:SKETCH] >> np.uint64(24)).astype(np.int64) for t in texts]})
+
+
+def _resemblance(x, y):
+    """Share of the smallest hashes of both sets that are in each: an estimate of their resemblance."""
+    both = F.slice(F.array_sort(F.array_union(x, y)), 1, SKETCH)
+    return F.size(F.array_intersect(F.array_intersect(x, y), both)) / F.greatest(F.size(both), F.lit(1))
+
+
+def keep_one(docs: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
+    """One row of each group of exact and near copies, with all columns: the smallest doc_id.
+
+    Candidates are texts whose word SimHashes are within ``radius`` bits; a candidate
+    is verified on its five-word shingles. Equal texts (by a 64-bit hash) are one node,
+    and null counts as empty; of repeated rows one stays. Texts without a word are copies
+    of each other.
+    """
+    text = F.coalesce("text", F.lit(""))
+    traits = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("node"), _traits(text).alias("t"))
+    rows, _ = materialise(traits.select("id", "node", "t.fp", "t.sketch"), "traits")
+    # Copies agree in all but their id: the first fingerprint and sketch will do for each node.
+    nodes = rows.groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch"))
+    nodes, _ = materialise(nodes, "nodes")
+    pairs = links(nodes.select("node", "fp"), radius, crowd)
+    x = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
+    y = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
+    least = similarity - (similarity * (1 - similarity) / SKETCH) ** 0.5
+    same = pairs.join(x, "a").join(y, "b").filter(_resemblance(F.col("x"), F.col("y")) >= least).select("a", "b")
+    found = components(same)
+    grouped = nodes.select("node", "id").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # Of each group the smallest id (null last), then the smallest node.
+    kept = grouped.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "node")).alias("k")).select(F.col("k.node").alias("_node"), F.col("k.id").alias("_id"))
+    mine = docs.withColumn("_h", F.xxhash64(text))
+    # The keys of the join and of the window are the same: texts are shuffled once.
+    chosen = mine.join(kept, F.col("_h") == F.col("_node")).filter(F.col("doc_id").eqNullSafe(F.col("_id")))
+    one = chosen.withColumn("_rank", F.row_number().over(W.partitionBy("_h").orderBy(F.lit(0)))).filter("_rank = 1")
+    return one.select(*[one[f"`{c}`"] for c in docs.columns])

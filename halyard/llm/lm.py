@@ -32,13 +32,18 @@ BACK = 5
 #: Words that every task holds; the counts of the others are joined.
 FREQUENT = 200_000
 PAIR_ROWS = 4096
-ROUNDS, BATCH, RATE = 2, 4096, 0.15
-LOT = 4_000_000
+ROUNDS, BATCH, RATE = 2, 32768, 0.3
+LOT = 8_000_000
 END = b""  # the end token among words: no word is empty
 
-#: Features: the classes 1 to 5 tokens back, each by itself, and hashed pairs of (1, 2) and (1, 3) back.
-_SINGLE_ROWS = CLASSES + 1
-ROWS = BACK * _SINGLE_ROWS + 2 * PAIR_ROWS + 1
+#: Features: the class at each of BACK places before, the pairs of PAIRS hashed, and a bias.
+PAIRS = ((1, 2), (1, 3), (4, 5))
+_KINDS = CLASSES + 1
+_FIRST = BACK * _KINDS
+ROWS = _FIRST + len(PAIRS) * PAIR_ROWS + 1
+_A, _B = np.repeat(np.arange(_KINDS), _KINDS), np.tile(np.arange(_KINDS), _KINDS)
+#: The weight row of each pair's feature, by its code ``a * _KINDS + b``.
+_HASHED = [_FIRST + j * PAIR_ROWS + (_A * 31337 + _B * 69069 + _A * _B + j * 7919) % PAIR_ROWS for j in range(len(PAIRS))]
 
 
 def ending_class(word: bytes) -> int:
@@ -63,8 +68,9 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     A-Z in lower case; words between space and 9-13; after each text its end. Null: empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     texts = pc.ascii_lower(texts)
-    for blank in "\t\n\v\f\r":
-        texts = pc.replace_substring(texts, blank, " ")
+    for blank in "\n\t\v\f\r":
+        if pc.any(pc.match_substring(texts, blank)).as_py():
+            texts = pc.replace_substring(texts, blank, " ")
     words = pc.split_pattern(texts, " ")
     ends = words.offsets.to_numpy()[1:].astype(np.int64) - words.offsets[0].as_py()
     coded = words.flatten().dictionary_encode()
@@ -209,42 +215,85 @@ def _encode(shared):
     return run
 
 
-def _contexts(seqs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rows of each token's features, its class, where each document ends)."""
+def _contexts(seqs: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(code of each pair of PAIRS before each token, the token's class, where each document ends)."""
     size = np.fromiter(map(len, seqs), np.int64, len(seqs))
     pad = bytes([START]) * BACK
-    line = np.frombuffer(b"".join(x for s in seqs for x in (pad, s)), np.uint8).astype(np.int32)
-    ends = np.cumsum(size)
+    line = np.frombuffer(b"".join(x for s in seqs for x in (pad, s)), np.uint8).astype(np.uint16)
     at = np.arange(int(size.sum())) + np.repeat((np.arange(len(seqs)) + 1) * BACK, size)
-    back = [line[at - k] for k in range(1, BACK + 1)]
-    first = BACK * _SINGLE_ROWS
-    pairs = [first + j * PAIR_ROWS + (back[0] * 31337 + back[k] * 69069 + (back[0] * back[k])) % PAIR_ROWS for j, k in enumerate((1, 2))]
-    return np.stack([b + k * _SINGLE_ROWS for k, b in enumerate(back)] + pairs, 1), line[at], ends
+    return [line[at - a] * np.uint16(_KINDS) + line[at - b] for a, b in PAIRS], line[at].astype(np.int64), np.cumsum(size)
 
 
-def log_probabilities(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Log of the softmax over classes, for each token."""
-    z = weights[rows[:, 0]]
-    for k in range(1, rows.shape[1]):
-        z += weights[rows[:, k]]
-    z += weights[ROWS - 1]
-    z -= z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+def combined(w: np.ndarray) -> list[np.ndarray]:
+    """For each pair the sum of all weights that its code decides: the features that a
+    token's places share are looked up at once. Each place counts once."""
+    place, done, out = w[:_FIRST].reshape(BACK, _KINDS, CLASSES), set(), []
+    for rows, pair in zip(_HASHED, PAIRS, strict=True):
+        t = w[rows].reshape(_KINDS, _KINDS, CLASSES)
+        for k, side in zip(pair, (np.s_[:, None], np.s_[None, :]), strict=True):
+            if k not in done:
+                t += place[k - 1][side]
+                done.add(k)
+        out.append(t.reshape(-1, CLASSES))
+    out[0] += w[-1]
+    return out
 
 
-def _updates(w: np.ndarray, heat: np.ndarray, used: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> None:
+_ONES = np.ones(CLASSES, np.float32)
+
+
+def _masses(tables: list[np.ndarray], codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(logits, their exponentials, the sum of these by token)."""
+    z = tables[0].take(codes[0], 0)
+    more = np.empty_like(z)
+    for t, c in zip(tables[1:], codes[1:], strict=True):
+        z += np.take(t, c, 0, out=more, mode="clip")
+    if z.max(initial=0) > 60:  # else nothing can overflow
+        z -= z.max(1, keepdims=True)
+    e = np.exp(z, out=more)
+    return z, e, e @ _ONES
+
+
+def log_probabilities(tables: list[np.ndarray], codes: list[np.ndarray], classes: np.ndarray) -> np.ndarray:
+    """Natural log of the probability of each token's class."""
+    z, _, total = _masses(tables, codes)
+    return z[np.arange(len(z)), classes] - np.log(total)
+
+
+def _updates(w: np.ndarray, heat: np.ndarray, used: np.ndarray, codes: list[np.ndarray], classes: np.ndarray) -> None:
     """One gradient update on a batch, steps scaled by each weight's past gradients."""
-    g = np.exp(log_probabilities(w, rows))
+    _, g, total = _masses(combined(w), codes)
+    g /= total[:, None]
     g[np.arange(len(g)), classes] -= 1
-    for k in range(rows.shape[1]):
-        order = np.argsort(rows[:, k], kind="stable")
-        sorted_rows = rows[order, k]
-        first = np.flatnonzero(np.concatenate(([True], sorted_rows[1:] != sorted_rows[:-1])))
-        at = sorted_rows[first]
-        step = np.add.reduceat(g[order], first, 0)
-        used[at] += np.diff(np.append(first, len(order)))
-        heat[at] += step * step
-        w[at] -= RATE * step / np.sqrt(heat[at] + 1)
+    done, sorted_g = set(), np.empty_like(g)
+
+    def move(at: np.ndarray | slice, step: np.ndarray, n: np.ndarray | int) -> None:
+        used[at] += n
+        hot = heat[at] + step * step
+        heat[at] = hot
+        w[at] -= RATE * step / np.sqrt(hot + 1)
+
+    move(np.array([ROWS - 1]), g.sum(0, keepdims=True), len(g))
+    for rows, pair, code in zip(_HASHED, PAIRS, codes, strict=True):
+        # Gradients are summed by code first; the features of its places add up from these sums.
+        at, sums, count = _sums(code, g, sorted_g)
+        for k, side in zip(pair, (_A[at], _B[at]), strict=True):
+            if k not in done:
+                done.add(k)
+                one = np.zeros((len(at), _KINDS), np.float32)
+                one[np.arange(len(at)), side] = 1
+                move(np.s_[(k - 1) * _KINDS : k * _KINDS], one.T @ sums, count @ one)
+        move(*_sums(rows[at], sums, np.empty_like(sums), count))
+
+
+def _sums(key: np.ndarray, g: np.ndarray, out: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, sums of the rows of g by key, how many there were)."""
+    order = np.argsort(key, kind="stable")
+    ordered = key[order]
+    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    sums = np.add.reduceat(np.take(g, order, 0, out=out, mode="clip"), first, 0)
+    n = np.diff(np.append(first, len(order))) if weight is None else np.add.reduceat(weight[order], first)
+    return ordered[first].astype(np.int64), sums, n
 
 
 def _train(shared):
@@ -253,10 +302,10 @@ def _train(shared):
         w, heat, used = start.copy(), np.zeros_like(start), np.zeros(len(start))
         for batch in batches:
             seqs = batch.column("classes").to_pylist()
-            for i in range(0, len(seqs), 200):
-                rows, classes, _ = _contexts(seqs[i : i + 200])
-                for a in range(0, len(rows), BATCH):
-                    _updates(w, heat, used, rows[a : a + BATCH], classes[a : a + BATCH])
+            for i in range(0, len(seqs), 400):
+                codes, classes, _ = _contexts(seqs[i : i + 400])
+                for a in range(0, len(classes), BATCH):
+                    _updates(w, heat, used, [c[a : a + BATCH] for c in codes], classes[a : a + BATCH])
         at = np.flatnonzero(used)
         change = ((w - start)[at] * used[at, None]).astype(np.float32)
         flat = pa.array(change.ravel())
@@ -287,16 +336,15 @@ def train(coded: DataFrame, mass: np.ndarray, rounds: int = ROUNDS) -> np.ndarra
 
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = shared.value
+        tables = combined(shared.value)
         for batch in batches:
             seqs = batch.column("classes").to_pylist()
             out = []
-            for i in range(0, len(seqs), 200):
-                rows, classes, ends = _contexts(seqs[i : i + 200])
-                own = np.empty(len(rows))
-                for a in range(0, len(rows), BATCH):
-                    p = log_probabilities(w, rows[a : a + BATCH])
-                    own[a : a + BATCH] = p[np.arange(len(p)), classes[a : a + BATCH]]
+            for i in range(0, len(seqs), 400):
+                codes, classes, ends = _contexts(seqs[i : i + 400])
+                own = np.empty(len(classes))
+                for a in range(0, len(own), BATCH):
+                    own[a : a + BATCH] = log_probabilities(tables, [c[a : a + BATCH] for c in codes], classes[a : a + BATCH])
                 out.append(np.add.reduceat(own, np.concatenate(([0], ends[:-1]))) / np.log(10))
             names = ["rid", "doc_id", "held_out", "n_tokens", "n_known", "logs", "totals"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(np.concatenate(out) if out else np.empty(0))], [*names, "class_score"])

@@ -32,7 +32,8 @@ SCALE, EVERY, TOP = 256, 50, 5
 PIVOTS, BLOCK, LEAF, FANOUT = 32, 4096, 128, 16
 #: Queries that meet one block in one task.
 CHUNK = 4096
-#: Distances are doubles of exact products; bounds get this much room.
+#: Distances are roots of differences of doubles: near zero they are off by some 1e-8 of
+#: the vectors' norm. Bounds get this share of the norm as room.
 SLACK = 1e-6
 
 
@@ -153,7 +154,7 @@ class Tree:
 
         def reach() -> float:
             """Nothing farther can be among the results."""
-            return np.sqrt(max(0.0, lifted - 2 * floor)) * (1 + SLACK) + SLACK if floor > -np.inf else np.inf
+            return np.sqrt(max(0.0, lifted - 2 * floor)) + SLACK * (1 + np.sqrt(lifted)) if floor > -np.inf else np.inf
 
         far = reach()
         queue = [(0.0, 0, None)] if self.pages else []
@@ -269,8 +270,8 @@ def top_products(vectors: DataFrame, k: int = TOP, every: int = EVERY, scale: in
             q = _matrix(pdf["x"], dim)
             norm = (q * q).sum(1)
             d = _distances(q, pivots[order])
-            low = np.maximum(d - radius, 0)
-            most_product = (norm[:, None] + most - low**2 * (1 - SLACK)) / 2 + SLACK
+            low = np.maximum(d - radius - SLACK * (1 + np.sqrt(norm + most))[:, None], 0)
+            most_product = (norm[:, None] + most - low**2) / 2 + SLACK * (norm + most + 1)[:, None]
             open_ = most_product >= pdf["least"].fillna(-np.inf).to_numpy()[:, None]
             out = []
             for i, (rid, query_id, x, home, least) in enumerate(zip(pdf["rid"], pdf["query_id"], pdf["x"], pdf["home"], pdf["least"], strict=True)):

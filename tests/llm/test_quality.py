@@ -1,0 +1,52 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from halyard.llm import quality as Q
+
+
+def test_em_recovers_planted_accuracies():
+    rng = np.random.default_rng(2)
+    n, j = 60_000, len(Q.LABELLERS)
+    good = rng.random(n) < 0.8
+    right = np.linspace(0.7, 0.97, j)
+    cast = rng.random((n, j)) < 0.7
+    says_good = np.where(rng.random((n, j)) < right, good[:, None], ~good[:, None])
+    v = np.where(cast, np.where(says_good, 1, 2), 0)
+    patterns, counts = np.unique((v * 3 ** np.arange(j)[::-1]).sum(1), return_counts=True)
+    model = Q.fit_labels(patterns, counts)
+    assert abs(model.prior - good.mean()) < 0.02 and np.abs(model.accuracy() - right).max() < 0.03
+    q = model.posterior((v * 3 ** np.arange(j)[::-1]).sum(1))
+    assert ((q > 0.5) == good).mean() > 0.97
+
+
+def test_votes_and_features():
+    assert Q.votes(None) == Q.votes("") == Q.votes(" \n") == -1
+    v = dict(zip([f.__name__ for f in Q.LABELLERS], Q._digits3(np.array([Q.votes("WORD!! OTHER!! THING!! MORE!! " * 20)]))[0].tolist(), strict=True))
+    assert v["_capitals"] == v["_shouting"] == 2 and v["_tables"] == 1
+    assert Q.features("") is None and Q.features("a").shape == (Q.DIM,) and np.isfinite(Q.features("é 1 ! |" * 999)).all()
+
+
+def test_against_true_labels(spark):
+    """Trained without labels, held against them."""
+    d = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    got = Q.classify(spark.read.parquet(f"{d}/documents.parquet")).join(labels, "doc_id").groupBy("quality", "keep").count().collect()
+    n = {(r.quality, r.keep): r["count"] for r in got}
+    assert n.get((1, False), 0) <= 0.01 * n[1, True] and n.get((0, True), 0) <= 0.15 * n[0, False]
+
+
+def test_rows_and_stage(spark, odd_docs):
+    out = Q.classify(odd_docs)
+    assert out.columns == ["doc_id", "score", "keep"] and out.count() == odd_docs.count()
+    by = {r.doc_id: r for r in out.collect()}
+    assert all(by[i].score == 0 and not by[i].keep for i in (2, 3, 4)) and by[8].score == by[9].score
+    kept = Q.keep_good(odd_docs)
+    assert kept.columns == odd_docs.columns
+    assert sorted(r.doc_id or -1 for r in kept.collect()) == sorted(r.doc_id or -1 for r in out.filter("keep").collect())
+    assert Q.classify(odd_docs.limit(0)).count() == 0
+    assert Q.classify(odd_docs.filter(F.col("text").isNull())).first().score == 0
+
+
+def test_reruns_agree(spark, documents):
+    a, b = (sorted(map(tuple, Q.classify(d).collect())) for d in (documents, documents.repartition(5)))
+    assert a == b

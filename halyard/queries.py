@@ -17,7 +17,8 @@ from halyard import functions as H
 from halyard import schemas
 from halyard.operators import merge, quality, star, versions
 from halyard.plans import reports
-from halyard.sources import files, loads
+from halyard.sources import files, loads, synthetic
+from halyard.streaming import ingest
 
 AS_OF = datetime(2024, 2, 1, tzinfo=UTC)
 RUN = "run-0000000001"
@@ -545,3 +546,57 @@ def flagship(spark, d):
     facts = star.lookup(t(spark, d, "orders").select("o_custkey", "o_totalprice"), dim, "o_custkey", "customer_sk", "c_custkey")
     named = facts.join(dim.select(F.col("customer_sk").alias("_sk"), "c_mktsegment"), F.col("customer_sk") == F.col("_sk"), "left")
     return named.groupBy(H.default_text("c_mktsegment").alias("segment")).agg(F.count("*").alias("orders"), F.count_if(F.col("customer_sk") == star.UNKNOWN_KEY).alias("unmatched"), F.sum(money("o_totalprice")).cast("double").alias("total"))
+
+
+# ---- streaming --------------------------------------------------------------------------
+
+
+def _work(spark: SparkSession) -> str:
+    """A fresh folder in the session's shared one; a local one only where none is set (tests)."""
+    import tempfile
+    import uuid
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="halyard-")
+    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+
+
+_EVENT = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+@query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1")
+def stream_upsert(spark, d):
+    """Events arrive as a stream of files and are merged by user, the newest kept."""
+    at = _work(spark)
+    stream = ingest.stream_files(spark, f"{d}/events.parquet", _EVENT).withColumn("seq", F.struct("ts", "event_id"))
+    target = files.Table(spark, f"{at}/table")
+    ingest.merge_stream(stream, target, ["user_id"], "seq", f"{at}/checkpoint").awaitTermination()
+    return target.read().select("user_id", "event_id", "event_type")
+
+
+@query("SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL HAVING date_trunc('day', min(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR")
+def stream_daily_counts(spark, d):
+    """Append mode: a day is out when the watermark has passed its end."""
+    at = _work(spark)
+    counts = ingest.windowed_counts(ingest.stream_files(spark, f"{d}/events.parquet", _EVENT), "ts", "event_type")
+    counts.writeStream.format("parquet").option("checkpointLocation", f"{at}/checkpoint").option("path", f"{at}/out").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.schema("window_start timestamp, event_type string, n long").parquet(f"{at}/out")
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+# ---- generated sources ------------------------------------------------------------------
+
+
+@query("SELECT 300 AS patients, CAST(0 AS BIGINT) AS without_patient, CAST(0 AS BIGINT) AS never_left, true AS one_to_three")
+def generated_sources(spark, d):
+    """A seeded sample of the relational sources and what always holds in it."""
+    p, e = synthetic.patients(spark, 300), synthetic.encounters(spark, 300)
+    orphans = quality.orphans(e, "patient_id", p, "patient_id").agg(F.count("*").alias("without_patient"))
+    visits = e.groupBy("patient_id").agg(F.count("*").alias("n"), F.count_if(F.col("discharge_timestamp") <= F.col("admission_timestamp")).alias("bad"))
+    per = visits.agg(F.count("*").cast("int").alias("patients"), F.sum("bad").alias("never_left"), (F.min("n").between(1, 3) & F.max("n").between(1, 3)).alias("one_to_three"))
+    return per.join(orphans, F.lit(True)).select("patients", "without_patient", "never_left", "one_to_three")
+
+
+@query("SELECT 'Condition' AS kind, true AS some UNION ALL SELECT 'Encounter', true UNION ALL SELECT 'Observation', true UNION ALL SELECT 'Patient', true")
+def generated_bundle(spark, d):
+    resources = files.unnest(synthetic.fhir_bundle(spark, 50, 2))
+    return resources.groupBy(F.col("resourceType").alias("kind")).agg((F.count("*") >= 50).alias("some"))

@@ -11,9 +11,14 @@ from halyard.sources.files import Table
 
 
 def stream_files(spark: SparkSession, path: str, schema: str, fmt: str = "parquet", per_batch: int | None = None) -> DataFrame:
+    """Files of a folder as they arrive; a path of one file streams that file alone."""
     reader = spark.readStream.schema(schema).format(fmt)
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(at) and fs.getFileStatus(at).isFile():
+        return reader.option("pathGlobFilter", at.getName()).load(str(at.getParent().toString()))
     return reader.load(path)
 
 

@@ -57,8 +57,9 @@ def net_changes(feed: DataFrame, keys: list[str], seq: str, op: str = "op") -> D
 def surrogate_keys(new: DataFrame, key: str, out: str, existing: DataFrame | None = None) -> DataFrame:
     """Rows of ``new`` whose key isn't in ``existing``, numbered on from its highest number.
 
-    Without ``existing``, from 1. The numbers are dense and in order of the key: ranks
-    within ranges of the key plus the sizes of the ranges before, not one global sort.
+    Without ``existing``, from 1. The numbers are dense, in order of (cell, key), where a
+    key's cell is 16 bits of its MD5: ranks within the cells plus the sizes of the cells
+    before. No global sort, and keys that look alike don't meet in one task.
     """
     if existing is not None:
         new = new.join(existing.select(F.col(key).alias("_seen")), F.col(key) == F.col("_seen"), "left_anti")
@@ -66,10 +67,7 @@ def surrogate_keys(new: DataFrame, key: str, out: str, existing: DataFrame | Non
         start = max(start, 0)
     else:
         start = 0
-    spread = F.substring(F.col(key).cast("string"), 1, 3)
-    if new.schema[key].dataType.simpleString() in ("int", "bigint"):
-        spread = F.floor(F.col(key) / 4096)
-    cell = new.withColumn("_cell", spread)
+    cell = new.withColumn("_cell", F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 4))
     sizes = cell.groupBy("_cell").agg(F.count("*").alias("_n"))
     before = sizes.select(F.col("_cell").alias("_c"), F.coalesce(F.sum("_n").over(W.orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     ranked = cell.withColumn("_rank", F.row_number().over(W.partitionBy("_cell").orderBy(key)))

@@ -307,7 +307,7 @@ def quarantine_replay(spark, d):
 
 # ---- star schema --------------------------------------------------------------------
 
-_DIM = "SELECT c_custkey, CAST(row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS customer_sk FROM customer WHERE c_acctbal >= 0"
+_DIM = "SELECT c_custkey, CAST(row_number() OVER (ORDER BY substr(md5(CAST(c_custkey AS VARCHAR)), 1, 4), c_custkey) AS BIGINT) AS customer_sk FROM customer WHERE c_acctbal >= 0"
 
 
 def _dim(spark, d):
@@ -332,11 +332,12 @@ def unknown_member_union(spark, d):
     return star.with_unknown(t(spark, d, "supplier").select("s_suppkey", "s_name"), "s_suppkey", "s_name")
 
 
-@query("SELECT p_partkey, CAST(row_number() OVER (ORDER BY p_partkey) AS BIGINT) + 100 AS part_sk FROM part WHERE p_partkey % 3 <> 0")
+@query("SELECT p_partkey, CAST(row_number() OVER (ORDER BY substr(md5(CAST(p_partkey AS VARCHAR)), 1, 4), p_partkey) AS BIGINT) + 100 AS part_sk FROM part WHERE p_size >= 15")
 def surrogate_key(spark, d):
-    part = t(spark, d, "part").select("p_partkey")
-    seen = part.filter("p_partkey % 3 = 0").select("p_partkey", F.lit(100).cast("long").alias("part_sk"))
-    return merge.surrogate_keys(part, "p_partkey", "part_sk", seen).select("p_partkey", "part_sk")
+    """Parts that are known already (the small ones) keep their numbers, up to 100; the others are numbered on."""
+    part = t(spark, d, "part").select("p_partkey", "p_size")
+    seen = part.filter("p_size < 15").select("p_partkey", F.lit(100).cast("long").alias("part_sk"))
+    return merge.surrogate_keys(part.select("p_partkey"), "p_partkey", "part_sk", seen).select("p_partkey", "part_sk")
 
 
 _DATES = """SELECT CAST(strftime(x, '%Y%m%d') AS INTEGER) AS date_key, CAST(CAST(x AS DATE) AS VARCHAR) AS full_date, CAST(dayofweek(x) + 1 AS INTEGER) AS day_of_week, dayname(x) AS day_name, CAST(day(x) AS INTEGER) AS day_of_month,
@@ -384,14 +385,15 @@ def scd2_point_in_time(spark, d):
     return versions.as_of(later, dim, "user_id", "at", ["state", "since"]).select("event_id", "state", F.col("since").alias("effective_start_date"))
 
 
-@query("""WITH old AS (SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(18,2)) AS bal FROM customer WHERE c_custkey % 3 <> 0),
-  new AS (SELECT c_custkey, c_name || '!' AS c_name, CAST(c_acctbal AS DECIMAL(18,2)) + 1 AS bal, c_custkey % 10 = 0 AS gone FROM customer WHERE c_custkey % 2 = 0)
+@query("""WITH old AS (SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(18,2)) AS bal FROM customer WHERE c_nationkey < 17),
+  new AS (SELECT c_custkey, c_name || '!' AS c_name, CAST(c_acctbal AS DECIMAL(18,2)) + 1 AS bal, c_acctbal < 0 AS gone FROM customer WHERE c_mktsegment <> 'BUILDING')
   SELECT coalesce(n.c_custkey, o.c_custkey) AS c_custkey, CASE WHEN n.c_custkey IS NULL THEN o.c_name ELSE n.c_name END AS c_name, CAST(CASE WHEN n.c_custkey IS NULL THEN o.bal ELSE n.bal END AS DOUBLE) AS bal
   FROM old o FULL JOIN new n ON o.c_custkey = n.c_custkey WHERE NOT coalesce(n.gone, false)""")
 def merge_upsert(spark, d):
-    c = t(spark, d, "customer").select("c_custkey", "c_name", money("c_acctbal").alias("bal"))
-    old = c.filter("c_custkey % 3 <> 0")
-    new = c.filter("c_custkey % 2 = 0").select("c_custkey", F.concat("c_name", F.lit("!")).alias("c_name"), (F.col("bal") + 1).cast("decimal(18,2)").alias("bal"), (F.col("c_custkey") % 10 == 0).alias("gone"))
+    """Customers of some nations are loaded; a batch changes all but one segment and takes negative balances out."""
+    c = t(spark, d, "customer").select("c_custkey", "c_name", money("c_acctbal").alias("bal"), "c_nationkey", "c_mktsegment", "c_acctbal")
+    old = c.filter("c_nationkey < 17").select("c_custkey", "c_name", "bal")
+    new = c.filter("c_mktsegment <> 'BUILDING'").select("c_custkey", F.concat("c_name", F.lit("!")).alias("c_name"), (F.col("bal") + 1).cast("decimal(18,2)").alias("bal"), (F.col("c_acctbal") < 0).alias("gone"))
     return merge.upsert(old, new, ["c_custkey"], "gone").withColumn("bal", F.col("bal").cast("double"))
 
 
@@ -440,10 +442,12 @@ def load_backfill(spark, d):
     return loads.load(old, rows, "Watermark", ["event_id"], "ts", window=(at("2024-01-05 00:00:00"), at("2024-01-12 00:00:00"))).select("event_id", "state")
 
 
-@query("SELECT s_suppkey, s_name, CAST(NULL AS DOUBLE) AS s_nationkey FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT s_suppkey, s_name, CAST(s_nationkey AS DOUBLE) FROM supplier WHERE s_suppkey % 2 <> 0")
+@query("SELECT s_suppkey, s_name, CASE WHEN s_acctbal >= 0 THEN CAST(s_nationkey AS DOUBLE) END AS s_nationkey FROM supplier")
 def schema_drift(spark, d):
+    """An older batch lacks a column that a newer one has."""
     s = t(spark, d, "supplier")
-    return files.evolve(s.filter("s_suppkey % 2 = 0").select("s_suppkey", "s_name"), s.filter("s_suppkey % 2 <> 0").select("s_suppkey", "s_name", F.col("s_nationkey").cast("double")))
+    older, newer = s.filter("s_acctbal < 0").select("s_suppkey", "s_name"), s.filter("s_acctbal >= 0").select("s_suppkey", "s_name", F.col("s_nationkey").cast("double"))
+    return files.evolve(older, newer)
 
 
 _CONFIG = ", ".join("({}, '{}', '{}', '{}', '{}', {}, '{}')".format(i, s, tb, dest, kind, f"'{w}'" if w else "NULL", k) for i, (s, tb, dest, kind, w, k, _) in enumerate(schemas.CONFIG_ROWS, 1))
@@ -532,7 +536,7 @@ def row_counts(spark, d):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
-_FLAGSHIP = """WITH good AS (SELECT c_custkey, c_mktsegment, CAST(row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS customer_sk FROM customer WHERE coalesce(c_acctbal >= 0, false))
+_FLAGSHIP = """WITH good AS (SELECT c_custkey, c_mktsegment, CAST(row_number() OVER (ORDER BY substr(md5(CAST(c_custkey AS VARCHAR)), 1, 4), c_custkey) AS BIGINT) AS customer_sk FROM customer WHERE coalesce(c_acctbal >= 0, false))
   SELECT coalesce(g.c_mktsegment, 'UNKNOWN') AS segment, count(*) AS orders, CAST(count(*) FILTER (g.customer_sk IS NULL) AS BIGINT) AS unmatched, CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
   FROM orders o LEFT JOIN good g ON o.o_custkey = g.c_custkey GROUP BY 1"""
 
@@ -586,14 +590,15 @@ def stream_daily_counts(spark, d):
 # ---- generated sources ------------------------------------------------------------------
 
 
-@query("SELECT 300 AS patients, CAST(0 AS BIGINT) AS without_patient, CAST(0 AS BIGINT) AS never_left, true AS one_to_three")
+@query("SELECT 'encounters without patient' AS fact, CAST(0 AS BIGINT) AS n UNION ALL SELECT 'patients', 300 UNION ALL SELECT 'left before they came', 0 UNION ALL SELECT 'over three visits', 0")
 def generated_sources(spark, d):
     """A seeded sample of the relational sources and what always holds in it."""
     p, e = synthetic.patients(spark, 300), synthetic.encounters(spark, 300)
-    orphans = quality.orphans(e, "patient_id", p, "patient_id").agg(F.count("*").alias("without_patient"))
+    orphans = quality.orphans(e, "patient_id", p, "patient_id").agg(F.count("*").alias("n")).select(F.lit("encounters without patient").alias("fact"), "n")
     visits = e.groupBy("patient_id").agg(F.count("*").alias("n"), F.count_if(F.col("discharge_timestamp") <= F.col("admission_timestamp")).alias("bad"))
-    per = visits.agg(F.count("*").cast("int").alias("patients"), F.sum("bad").alias("never_left"), (F.min("n").between(1, 3) & F.max("n").between(1, 3)).alias("one_to_three"))
-    return per.join(orphans, F.lit(True)).select("patients", "without_patient", "never_left", "one_to_three")
+    one = visits.agg(F.count("*").alias("a"), F.sum("bad").alias("b"), F.count_if(F.col("n") > 3).alias("c"))
+    facts = one.select(F.explode(F.array(*[F.struct(F.lit(x).alias("fact"), F.col(c).alias("n")) for x, c in (("patients", "a"), ("left before they came", "b"), ("over three visits", "c"))])).alias("f")).select("f.*")
+    return facts.unionByName(orphans)
 
 
 @query("SELECT 'Condition' AS kind, true AS some UNION ALL SELECT 'Encounter', true UNION ALL SELECT 'Observation', true UNION ALL SELECT 'Patient', true")

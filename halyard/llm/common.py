@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 
+import pyarrow as pa
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,3 +60,13 @@ def ascii_words(text: str | None) -> list[bytes]:
     """Words of a text with A-Z in lower case, as UTF-8. ``bytes`` splits at exactly
     space and 9-13 and lowers exactly A-Z; ``str`` would do more."""
     return text.encode("utf-8", "replace").lower().split() if text else []
+
+
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: Python workers are kept and
+    go on to serve other operators."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

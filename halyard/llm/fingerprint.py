@@ -19,12 +19,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_words
+from .common import ascii_words, give_back
 
 SHINGLE, SCALE, FLOOR = 5, 16, 64
 TOP = np.uint64(2**64 - 1)
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-MAX_WORDS = 300_000
+MAX_WORDS = 150_000
 
 
 class _WordHashes(dict):
@@ -41,6 +41,12 @@ class _WordHashes(dict):
 _words = _WordHashes()
 
 
+def forget() -> None:
+    """Empty the cache at the end of a task."""
+    _words.clear()
+    give_back()
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * _ODD[1]
     h = (h ^ (h >> np.uint64(27))) * _ODD[2]
@@ -131,6 +137,7 @@ def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             last = (bucket, cur) if own else None
         # pyarrow keeps null ids whole; a float column would not
         yield pd.DataFrame({c: pd.Series(v, dtype="Int64" if c == "doc_id" else None) for c, v in zip(_COLUMNS, zip(*out, strict=True), strict=True)} if out else {c: [] for c in _COLUMNS})
+    forget()
 
 
 _COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]

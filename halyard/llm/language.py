@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import remainder
+from .common import give_back, remainder
 
 PROFILE = 400
 MAX_LANGUAGES = 2000
 BLANK = 0x20
 #: Characters handled at once; n-grams of longer texts are counted part by part.
-PART = 1_000_000
+PART = 250_000
 _BITS = 21
 
 _letters: np.ndarray | None = None
@@ -148,6 +148,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             keys, where = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
             counts = np.bincount(where, np.concatenate([c for _, c in held]), len(keys)).astype(np.int64)
             yield pd.DataFrame({"lang": lang, "gram": keys, "n": counts})
+    give_back()
 
 
 def learn(labelled: DataFrame, size: int = PROFILE) -> Profiles:
@@ -177,6 +178,7 @@ def predictor(profiles: Profiles, spark):
         own = shared.value
         for texts in parts:
             yield pd.DataFrame([own.nearest(t) for t in texts], columns=["lang_pred", "score"])
+        give_back()
 
     return predict
 
@@ -214,5 +216,6 @@ def keep_identified(docs: DataFrame, size: int = PROFILE, most: float = MOST_BEH
         own = shared.value
         for texts, langs in parts:
             yield pd.Series([own.behind(t, x) for t, x in zip(texts, langs, strict=True)], dtype="float64")
+        give_back()
 
     return docs.filter(behind(F.col("text"), F.col("lang").cast("string")) < most)

@@ -22,10 +22,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back
+
 LENGTH, POOL, END = 2048, 256, 1
 #: Cost of a piece of n tokens: LINEAR * n + n * n, as attention sees pieces apart.
 LINEAR = 4096
-MAX_WORDS = 800_000
+MAX_WORDS = 300_000
 _TRAIL = ".,!?;:&$%*#|"
 
 
@@ -58,6 +60,10 @@ class WordTokenizer:
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {"": b""}
 
+    def forget(self) -> None:
+        """Give the cache's memory back: a Python worker goes on to serve other operators."""
+        self.cache = {"": b""}
+
     def _learn(self, words: list[str]) -> None:
         """Fill the cache for words not in it."""
         cache, stems, whole, parts = self.cache, set(), set(), []
@@ -103,7 +109,7 @@ class WordTokenizer:
 
         The distinct words of the texts are looked up once; the rest is array work."""
         if len(self.cache) > MAX_WORDS:
-            self.cache = {"": b""}
+            self.forget()
         cache = self.cache
         words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " "), " ")
         ends = words.offsets.to_numpy()[1:] - words.offsets[0].as_py()
@@ -224,6 +230,8 @@ def _packer(path: str, length: int, pool: int, end: int | None):
                     tokens += j - i
                     while tokens >= pool * length:
                         yield close([length] * pool)
+        tok.forget()
+        give_back()
         full, rest = divmod(tokens, length)
         if tokens:
             yield close([length] * full + powers(rest))

@@ -20,11 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import give_back
+
 #: Documents the linear scorer is fitted on, drawn by hash; votes are counted over all.
 SAMPLE = 8192
 SHAPES, CLASSES = 512, 16
 DIM = SHAPES + CLASSES * CLASSES + 2
-MAX_WORDS = 300_000
+MAX_WORDS = 150_000
 
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#$%&*@^~=+<>{}[]\\|_`")] = True
@@ -157,6 +159,7 @@ def votes(text: str | None) -> int:
 def votes_udf(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in parts:
         yield pd.Series([votes(t) for t in texts], dtype="int64")
+    give_back()
 
 
 def _digits3(patterns: np.ndarray) -> np.ndarray:
@@ -227,6 +230,12 @@ class _Shapes(dict):
 _shapes = _Shapes()
 
 
+def forget() -> None:
+    """Empty the cache at the end of a task."""
+    _shapes.clear()
+    give_back()
+
+
 def features(text: str | None) -> np.ndarray | None:
     """Hashed shares of word shapes and of pairs of byte classes, and the shares of words
     that repeat the one before or any one before; None for a text without a word. A few
@@ -272,6 +281,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, LabelModel
         for texts in parts:
             found = [features(t) for t in texts]
             yield pd.DataFrame({"v": [votes(t) for t in texts], "x": [None if x is None else x.tobytes() for x in found]})
+        forget()
 
     drawn = docs.select("doc_id", "text", draw.alias("_d")).filter(F.col("_d") < int(min(1.0, sample / total) * (1 << 30)))
     got = drawn.select("_d", both(F.col("text")).alias("_b")).filter("_b.v >= 0").select("_d", "_b.v", "_b.x").limit(2 * sample).toPandas()
@@ -286,8 +296,9 @@ def scorer(weights: np.ndarray):
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in parts:
-            found = [features(t) for t in texts]
+            found = (features(t) for t in texts)  # one at a time: a batch of them is large
             yield pd.Series([0.0 if x is None else float(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30)))) for x in found], dtype="float64")
+        forget()
 
     return score
 

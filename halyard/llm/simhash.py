@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
+from . import fingerprint
 from .common import ascii_words, materialise, release
 from .fingerprint import shingle_hashes
 
@@ -72,41 +73,45 @@ def _ball(fp, masks: list[int]):
     return F.transform(F.array(*[F.lit(m).cast("long") for m in masks]), lambda m: fp.bitwiseXOR(m))
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
-    """(a, b) of distinct nodes of (node, fp), all within ``radius`` bits: enough of them
-    that their components are those of all such links.
+def links(nodes: DataFrame, radius: int = RADIUS, crowd: int = CROWD, most: int | None = None) -> DataFrame:
+    """(a, b) of distinct nodes of (node, fp), all within ``most`` bits (``radius`` unless
+    given): enough of them that their components are those of all links within ``radius``.
 
-    Every pair within ``radius`` that shares no crowded half-variant is returned itself.
-    In a crowd each member is linked, on every full-ball variant, to the sharer with the
-    most neighbours, as the copies of one original lie around it.
+    With a column ``tab``, fingerprints meet within their own table only. Every pair that
+    shares no crowded half-variant is returned itself if within ``most``; up to
+    ``radius + 1`` bits the halves find all of these. In a crowd each member is linked, on
+    every full-ball variant, to the sharer with the most neighbours, as the copies of
+    one original lie around it.
     """
     if radius not in (2, 4):
         raise ValueError("radius: 2 or 4")
     half, low = radius // 2, (1 << 32) - 1
     near = -(-half // 2)  # a half at distance <= half has its middle within this
-    fp = F.col("fp")
+    fp, most = F.col("fp"), radius if most is None else most
+    if "tab" not in nodes.columns:
+        nodes = nodes.withColumn("tab", F.lit(0))
+    side = F.shiftleft(F.col("tab").cast("long"), 33)
     keys = F.concat(
-        F.transform(_ball(fp, _flips(range(32), near)), lambda v: v.bitwiseAND(F.lit(low).cast("long"))),
-        F.transform(_ball(fp, _flips(range(32, 64), near)), lambda v: F.shiftrightunsigned(v, 32).bitwiseOR(F.lit(1 << 32).cast("long"))),
+        F.transform(_ball(fp, _flips(range(32), near)), lambda v: v.bitwiseAND(F.lit(low).cast("long")).bitwiseOR(side)),
+        F.transform(_ball(fp, _flips(range(32, 64), near)), lambda v: F.shiftrightunsigned(v, 32).bitwiseOR(F.lit(1 << 32).cast("long")).bitwiseOR(side)),
     )
     ball = nodes.select("node", "fp", F.explode(keys).alias("key"))
-    met, met_at = materialise(ball.withColumn("n", F.count("*").over(W.partitionBy("key"))).filter("n > 1"), "met")
+    met, _ = materialise(ball.withColumn("n", F.count("*").over(W.partitionBy("key"))).filter("n > 1"), "met")
     groups = met.filter(F.col("n") <= crowd).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("node", "fp"))).alias("all"))
     # ``all`` holds at most ``crowd`` members. Only verified pairs leave the array functions.
     pairs = F.expr(
-        f"flatten(transform(all, (x, i) -> transform(filter(slice(all, i + 2, size(all)), y -> bit_count(x.fp ^ y.fp) <= {radius}),"
+        f"flatten(transform(all, (x, i) -> transform(filter(slice(all, i + 2, size(all)), y -> bit_count(x.fp ^ y.fp) <= {most}),"
         " y -> struct(x.node AS a, y.node AS b))))"
     )
     found = groups.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
-    dense = met.filter(F.col("n") > crowd).select("node", "fp").distinct()
+    tab = F.shiftright("key", 33).alias("tab")
+    dense = met.filter(F.col("n") > crowd).groupBy("node", "fp", tab).agg(F.sum("n").alias("around"))
     if not dense.isEmpty():
-        full = dense.select("node", "fp", F.explode(_ball(fp, _flips(range(64), half))).alias("v"))
-        full = full.withColumn("n", F.count("*").over(W.partitionBy("v"))).filter("n > 1")
-        full, _ = materialise(full, "full")
-        around = full.filter("v = fp").select(F.col("node").alias("_node"), F.col("n").alias("around"))
-        ranked = full.join(around, F.col("node") == F.col("_node"), "left").withColumn("around", F.coalesce("around", F.lit(1)))
-        lead = F.first(F.col("node")).over(W.partitionBy("v").orderBy(F.desc("around"), "node"))
-        star = ranked.select(F.col("node").alias("a"), lead.alias("b")).filter("a != b")
+        # Dealt in turn, so that each task makes as many variants as any other.
+        spread = dense.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        full = spread.select("node", "around", "tab", F.explode(_ball(fp, _flips(range(64), half))).alias("v"))
+        lead = F.first(F.col("node")).over(W.partitionBy("v", "tab").orderBy(F.desc("around"), "node"))
+        star = full.select(F.col("node").alias("a"), lead.alias("b")).filter("a != b")
         found = found.unionByName(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     return found.distinct()
 
@@ -170,60 +175,84 @@ SIMILARITY, SKETCH, WORDS = 0.8, 256, 5
 _MARKS = b".,;:!?\"'()"
 
 
-def word_simhash(text: str | None) -> int:
-    """SimHash of single words, without marks at their ends, each as often as it stands.
-    A few changed words move it little, so copies with some edits stay within a few bits."""
-    words = [w.strip(_MARKS) for w in ascii_words(text)]
-    if not words:
-        return 0
-    hashes = np.fromiter(map(_word_hashes.__getitem__, words), np.uint64, len(words)).astype(">u8")
-    ones = np.zeros(64, np.int64)
-    for i in range(0, len(hashes), 65_536):
-        ones += np.unpackbits(hashes[i : i + 65_536].view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(ones * 2 > len(hashes)).tobytes(), "big")
+#: Fingerprints of the stage, by independent hashes of the same words, and the bits within
+#: which two texts of one of them are candidates: one more than the radius, as halves allow.
+TABLES, CANDIDATE = 2, 5
 
 
 class _WordHashes(dict):
+    """Word, without marks at its ends, to its hash. Bounded."""
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 300_000:
+        if len(self) >= 150_000:
             self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word, SEED)
+        h = self[word] = xxhash.xxh64_intdigest(word.strip(_MARKS), SEED)
         return h
 
 
 _word_hashes = _WordHashes()
 
 
-@F.pandas_udf(T.StructType([T.StructField("fp", T.LongType()), T.StructField("sketch", T.ArrayType(T.LongType()))]))
+def forget() -> None:
+    """Empty the caches at the end of a task."""
+    _word_hashes.clear()
+    fingerprint.forget()
+
+
+def word_simhashes(text: str | None, tables: int = TABLES) -> list[int]:
+    """SimHashes of single words, each weighed by the root of its count.
+
+    A few changed words move them little, so copies with some edits stay within a few
+    bits; the roots keep the commonest words from making all long texts alike."""
+    words = ascii_words(text)
+    if not words:
+        return [0] * tables
+    hashes, counts = np.unique(np.fromiter(map(_word_hashes.__getitem__, words), np.uint64, len(words)), return_counts=True)
+    weights = np.sqrt(counts).astype(np.float32)
+    out = []
+    for j in range(tables):
+        h = hashes if not j else (hashes ^ (hashes >> np.uint64(29 + j))) * np.uint64(0x9E3779B97F4A7C15 + 2 * j)
+        h = h ^ (h >> np.uint64(32)) if j else h
+        ones = weights @ np.unpackbits(h.astype(">u8").view(np.uint8)).reshape(-1, 64).astype(np.float32)
+        out.append(int.from_bytes(np.packbits(ones * 2 > weights.sum()).tobytes(), "big"))
+    return out
+
+
+@F.pandas_udf(T.StructType([T.StructField("fps", T.ArrayType(T.LongType())), T.StructField("sketch", T.ArrayType(T.IntegerType()))]))
 def _traits(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in parts:
-        fps = np.array([word_simhash(t) for t in texts], np.uint64).view(np.int64)
-        yield pd.DataFrame({"fp": fps, "sketch": [(shingle_hashes(t, WORDS)[:SKETCH] >> np.uint64(24)).astype(np.int64) for t in texts]})
+        fps = [np.array(word_simhashes(t), np.uint64).view(np.int64) for t in texts]
+        yield pd.DataFrame({"fps": fps, "sketch": [(shingle_hashes(t, WORDS)[:SKETCH] >> np.uint64(32)).astype(np.uint32).view(np.int32) for t in texts]})
+    forget()
 
 
 def _resemblance(x, y):
     """Share of the smallest hashes of both sets that are in each: an estimate of their resemblance."""
-    both = F.slice(F.array_sort(F.array_union(x, y)), 1, SKETCH)
+    # Hashes are kept as 32 unsigned bits in ints: in unsigned order the negative ones come last.
+    both = F.slice(F.array_sort(F.transform(F.array_union(x, y), lambda h: h.cast("long").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))), 1, SKETCH)
+    x, y = (F.transform(s, lambda h: h.cast("long").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))) for s in (x, y))
     return F.size(F.array_intersect(F.array_intersect(x, y), both)) / F.greatest(F.size(both), F.lit(1))
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
     """One row of each group of exact and near copies, with all columns: the smallest doc_id.
 
-    Candidates are texts whose word SimHashes are within ``radius`` bits; a candidate
-    is verified on its five-word shingles. Equal texts (by a 64-bit hash) are one node,
+    Candidates are texts of which one of two word SimHashes are within CANDIDATE bits (in
+    crowds ``radius``); a candidate is verified on its five-word shingles. Equal texts (by a 64-bit hash) are one node,
     and null counts as empty; of repeated rows one stays. Texts without a word are copies
     of each other.
     """
     text = F.coalesce("text", F.lit(""))
     traits = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("node"), _traits(text).alias("t"))
-    rows, _ = materialise(traits.select("id", "node", "t.fp", "t.sketch"), "traits")
+    rows, _ = materialise(traits.select("id", "node", "t.fps", "t.sketch"), "traits")
     # Copies agree in all but their id: the first fingerprint and sketch will do for each node.
-    nodes = rows.groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch"))
-    nodes, _ = materialise(nodes, "nodes")
-    pairs = links(nodes.select("node", "fp"), radius, crowd)
-    x = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
-    y = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
+    nodes, _ = materialise(rows.groupBy("node").agg(F.min("id").alias("id"), F.first("fps").alias("fps")), "nodes")
+    pairs, _ = materialise(links(nodes.select("node", F.posexplode("fps").alias("tab", "fp")), radius, crowd, CANDIDATE), "pairs")
+    # Sketches are large: only those of candidates are moved on.
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sketches, _ = materialise(rows.select("node", "sketch").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("sketch").alias("sketch")), "sketches")
+    x = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
+    y = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
     least = similarity - (similarity * (1 - similarity) / SKETCH) ** 0.5
     same = pairs.join(x, "a").join(y, "b").filter(_resemblance(F.col("x"), F.col("y")) >= least).select("a", "b")
     found = components(same)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
@@ -50,3 +52,19 @@ def session(app_name: str = "halyard", master: str | None = None, **conf: str) -
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share (``spark.checkpoint.dir``).
+
+    Only in local mode, where the session may name none (tests), is a local one made; on a
+    cluster a missing setting is an error, as a machine's own folder would not be shared.
+    """
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = os.environ.get("HALYARD_SHARED_DIR") or tempfile.mkdtemp(prefix="halyard-")
+        spark.conf.set("spark.checkpoint.dir", path)
+    return path.rstrip("/")

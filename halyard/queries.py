@@ -7,6 +7,7 @@ coded references, and events for a change feed with JSON payloads.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from halyard import functions as H
 from halyard import schemas
+from halyard.config import shared_dir
 from halyard.operators import merge, quality, star, versions
 from halyard.plans import reports
 from halyard.sources import files, loads, synthetic
@@ -556,12 +558,7 @@ def flagship(spark, d):
 
 
 def _work(spark: SparkSession) -> str:
-    """A fresh folder in the session's shared one; a local one only where none is set (tests)."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="halyard-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
 _EVENT = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"

@@ -68,8 +68,14 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     cells = sized.groupBy("_key", "source", "_size", "_salt").agg(F.count("*").alias("n"))
     goal = targets(cells.groupBy("source").agg(F.sum(F.col("n") * F.col("_size")).alias("source_size")))
     goal = goal.select(F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")).alias("_g"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"))
-    order = W.partitionBy("_key").orderBy("_size", "_salt").rowsBetween(W.unboundedPreceding, -1)
-    cells = cells.select("_key", "_size", "_salt", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("_before"))
+    # Rows before a cell: those of smaller sizes, a sum over a source's distinct sizes, and
+    # those of the same size in smaller salts, a sum over 256 salts at most.
+    sizes = cells.groupBy("_key", "_size").agg(F.sum("n").alias("n"))
+    below = F.coalesce(F.sum("n").over(W.partitionBy("_key").orderBy("_size").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select("_key", "_size", below.alias("_below"))
+    inside = F.coalesce(F.sum("n").over(W.partitionBy("_key", "_size").orderBy("_salt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    cells = cells.select("_key", "_size", "_salt", inside.alias("_inside")).join(sizes, ["_key", "_size"])
+    cells = cells.select("_key", "_size", "_salt", (F.col("_below") + F.col("_inside")).alias("_before"))
     cells = cells.join(goal, cells["_key"] == goal["_g"]).drop("_g")
     # The same three keys for the rank and the join: the documents are shuffled once.
     rank = F.row_number().over(W.partitionBy("_key", "_size", "_salt").orderBy("_tie", "_same"))

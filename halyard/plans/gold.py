@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from halyard import functions as H
 from halyard import schemas
 from halyard.config import Lake, Run
-from halyard.operators.merge import latest, surrogate_keys, upsert
+from halyard.operators.merge import hash_surrogate, latest, surrogate_keys, upsert
 from halyard.operators.star import UNKNOWN_KEY, lookup, readmitted, with_unknown
 from halyard.operators.versions import apply_versions, as_of
 from halyard.plans.audit import AuditLog
@@ -86,22 +86,34 @@ def dimension_rows(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     return found
 
 
+def stamped(rows: DataFrame, old: DataFrame | None, key: str, run: Run) -> DataFrame:
+    """Adds created_at: the run that brought a key first; a rerun keeps it."""
+    now = rows.withColumn("created_at", F.lit(run.as_of).cast("timestamp"))
+    if old is None:
+        return now
+    since = old.select(F.col(key).alias("_key"), F.col("created_at").alias("_since"))
+    return now.join(since, F.col(key) == F.col("_key"), "left").withColumn("created_at", F.coalesce("_since", "created_at")).drop("_key", "_since")
+
+
 def build_dimensions(spark: SparkSession, lake: Lake, run: Run, audit: AuditLog) -> list[str]:
     written = []
 
-    def write(name: str, make) -> None:
+    def write(name: str, make, sk: str | None = None) -> None:
         with audit.step(run.run_id, f"build_{name}", "silver", "GOLD") as entry:
             table = Table(spark, lake.path("gold", name), lake.fmt)
-            table.overwrite(make(table.read() if table.exists() else None))
+            old = table.read() if table.exists() else None
+            rows = make(old)
+            table.overwrite(stamped(rows, old, sk, run) if sk else rows)
             entry.rows_inserted = table.read().count()
             written.append(name)
 
     patients = _silver(spark, lake, "silver_patients")
     if patients is not None:
-        write("dim_patient", lambda old: dim_patient(patients, old))
+        write("dim_patient", lambda old: dim_patient(patients, old), "patient_sk")
     for name, rows in dimension_rows(spark, lake).items():
         key = schemas.DIMENSIONS[name][0]
-        write(name, lambda old, rows=rows, key=key, name=name: type1(rows, key, f"{name.removeprefix('dim_')}_sk", old))
+        sk = f"{name.removeprefix('dim_')}_sk"
+        write(name, lambda old, rows=rows, key=key, sk=sk: type1(rows, key, sk, old), sk)
     write("dim_date", lambda _: H.date_dimension(spark, "2000-01-01", "2035-12-31"))
     return written
 
@@ -164,14 +176,21 @@ def fact_rows(spark: SparkSession, lake: Lake) -> dict[str, tuple[str, DataFrame
     return out
 
 
+#: The names of the facts' own numbers.
+FACT_IDS = {"fact_encounter": "encounter_fact_id", "fact_observation": "observation_fact_id", "fact_medication_order": "medication_fact_id", "fact_diagnosis": "diagnosis_fact_id", "fact_claim": "claim_fact_id"}
+
+
 def build_facts(spark: SparkSession, lake: Lake, run: Run, audit: AuditLog) -> list[str]:
     """Merge each fact by its business key: a rerun changes nothing."""
     written = []
     for name, (key, rows) in fact_rows(spark, lake).items():
         with audit.step(run.run_id, f"build_{name}", "silver", "GOLD") as entry:
             table = Table(spark, lake.path("gold", name), lake.fmt)
+            old = table.read() if table.exists() else None
+            # A fact's own number is a hash of its business key: no sort, the same in every run.
             rows = latest(rows, [key], [F.xxhash64(*rows.columns).asc()])
-            table.overwrite(upsert(table.read(), rows, [key]) if table.exists() else rows)
+            rows = stamped(rows.select(hash_surrogate([key]).alias(FACT_IDS[name]), *rows.columns), old, key, run)
+            table.overwrite(rows if old is None else upsert(old, rows, [key]))
             entry.rows_inserted = table.read().count()
             written.append(name)
     return written

@@ -1,4 +1,4 @@
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -62,6 +62,7 @@ def test_gold(spark, lake):
     assert claims["C1"].patient_sk == -1 and claims["C0"].patient_sk > 0 and claims["C4"].claim_amount == Decimal("7.01")
     observed = {r.observation_id: r for r in read(spark, lake, "gold", "fact_observation").collect()}
     assert observed["L001"].turnaround_time_minutes == 95 and observed["fo0-0"].abnormal_flag is None and observed["L000"].result_value is None
+    assert {r.created_at for r in observed.values()} == {NOW.replace(tzinfo=None)} and min(r.observation_fact_id for r in observed.values()) > 0
     orders = read(spark, lake, "gold", "fact_medication_order")
     assert orders.filter("provider_sk > 0 AND medication_sk > 0").count() >= 28
     assert tuple(reconcile(read(spark, lake, "silver", "silver_claims"), read(spark, lake, "gold", "fact_claim"), "claim_id").first()) == (3, 3, 0, 0)
@@ -72,7 +73,7 @@ def test_rerun_is_idempotent_and_changes_make_versions(spark, lake):
     root, lake, landing, _ = lake
     names = ["dim_patient", "dim_provider", "fact_encounter", "fact_claim", "fact_observation"]
     before = {n: read(spark, lake, "gold", n).collect() for n in names}
-    pipeline.run_medallion(spark, lake, landing, Run("run-2", NOW))
+    pipeline.run_medallion(spark, lake, landing, Run("run-2", NOW + timedelta(days=1)))
     for n in names:
         assert sorted(map(str, read(spark, lake, "gold", n).collect())) == sorted(map(str, before[n])), n
     changed = patients()

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import os
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -13,22 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from halyard.config import shared_dir
+
 #: A word is a run of anything but space and the five ASCII controls 9-13.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``).
-
-    Only where the session names none (tests on one machine) a local one is made.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = os.environ.get("HALYARD_SHARED_DIR") or tempfile.mkdtemp(prefix="halyard-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
 def materialise(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage is cut,
     and a lost executor costs no recomputation. Returns the table and its path."""
@@ -56,6 +44,11 @@ def remainder(col: str, n: int):
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % n
 
 
+#: Words longer than this are not kept in any cache or broadcast table: a bound on entries
+#: is a bound on memory.
+LONG_WORD = 64
+
+
 def ascii_words(text: str | None) -> list[bytes]:
     """Words of a text with A-Z in lower case, as UTF-8. ``bytes`` splits at exactly
     space and 9-13 and lowers exactly A-Z; ``str`` would do more."""

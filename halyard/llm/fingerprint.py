@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_words, give_back
+from .common import LONG_WORD, ascii_words, give_back
 
 SHINGLE, SCALE, FLOOR = 5, 16, 64
 TOP = np.uint64(2**64 - 1)
@@ -34,7 +34,8 @@ class _WordHashes(dict):
         if len(self) >= MAX_WORDS:
             self.clear()
         h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        self[word] = h
+        if len(word) <= LONG_WORD:
+            self[word] = h
         return h
 
 

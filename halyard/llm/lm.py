@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, remainder
+from .common import LONG_WORD, give_back, materialise, remainder
 
 SMOOTH = 0.1
 SINGLES, ENDINGS = 39, 24  # classes: the end, SINGLES words, ENDINGS by ending
@@ -104,10 +104,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for w, n in zip(distinct, np.bincount(codes, minlength=len(distinct)).tolist(), strict=True):
                 if n:
                     total[w] = get(w, 0) + n
-            if len(total) > 600_000:
+            long = sum(len(w) for w in distinct if len(w) > LONG_WORD)
+            if len(total) > 600_000 or long > LOT // 4:
                 yield flush()
     if total:
         yield flush()
+    give_back()
 
 
 @dataclass
@@ -146,7 +148,7 @@ def vocabulary(counts: DataFrame, frequent: int = FREQUENT) -> tuple[Vocabulary,
         if held + r["v"] > frequent:
             break
         held, floor = held + r["v"], r["level"]
-    top = [] if floor is None else [(bytes(r["word"]), r["c"]) for r in counts.filter(level >= floor).collect()]
+    top = [] if floor is None else [(bytes(r["word"]), r["c"]) for r in counts.filter((level >= floor) & (F.length("word") <= LONG_WORD)).collect()]
     if END not in dict(top):  # the end is always held, as often as there are training documents
         top += [(END, r["c"]) for r in counts.filter(F.length("word") == 0).collect()]
     top.sort(key=lambda x: (-x[1], x[0]))

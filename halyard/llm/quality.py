@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import give_back
+from .common import LONG_WORD, give_back
 
 #: Documents the linear scorer is fitted on, drawn by hash; votes are counted over all.
 SAMPLE = 8192
@@ -223,7 +223,9 @@ class _Shapes(dict):
             self.clear()
         c = word.translate(_CLASS_BYTES)
         shape = bytes(x for i, x in enumerate(c) if not i or x != c[i - 1])
-        h = self[word] = zlib.crc32(shape) % SHAPES
+        h = zlib.crc32(shape) % SHAPES
+        if len(word) <= LONG_WORD:
+            self[word] = h
         return h
 
 

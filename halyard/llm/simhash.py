@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from . import fingerprint
-from .common import ascii_words, materialise, release
+from .common import LONG_WORD, ascii_words, materialise, release
 from .fingerprint import shingle_hashes
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -186,7 +186,9 @@ class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= 150_000:
             self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word.strip(_MARKS), SEED)
+        h = xxhash.xxh64_intdigest(word.strip(_MARKS), SEED)
+        if len(word) <= LONG_WORD:
+            self[word] = h
         return h
 
 
@@ -262,5 +264,5 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, radius: int = RADI
     mine = docs.withColumn("_h", F.xxhash64(text))
     # The keys of the join and of the window are the same: texts are shuffled once.
     chosen = mine.join(kept, F.col("_h") == F.col("_node")).filter(F.col("doc_id").eqNullSafe(F.col("_id")))
-    one = chosen.withColumn("_rank", F.row_number().over(W.partitionBy("_h").orderBy(F.lit(0)))).filter("_rank = 1")
+    one = chosen.withColumn("_rank", F.row_number().over(W.partitionBy("_h").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])))).filter("_rank = 1")
     return one.select(*[one[f"`{c}`"] for c in docs.columns])

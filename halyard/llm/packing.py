@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back
+from .common import LONG_WORD, give_back
 
 LENGTH, POOL, END = 2048, 256, 1
 #: Cost of a piece of n tokens: LINEAR * n + n * n, as attention sees pieces apart.
@@ -49,25 +49,29 @@ class WordTokenizer:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
-        self.merges = Tokenizer.from_file(path)
-        self.merges.normalizer = normalizers.Sequence([])
+        self.merges = Tokenizer(self.tok.model)  # the same model, shared
         self.merges.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {"": b""}
+        self.recent: list[str] = []
+        self.long: list[str] = []  # keys of the cache that go when the texts at hand are done
 
     def forget(self) -> None:
-        """Give the cache's memory back: a Python worker goes on to serve other operators."""
-        self.cache = {"": b""}
+        """Keep only the words of the last texts, the commonest among them: a Python worker goes on to serve other operators."""
+        self.cache = {"": b""} | {w: self.cache[w] for w in self.recent if w in self.cache}
 
     def _learn(self, words: list[str]) -> None:
         """Fill the cache for words not in it."""
         cache, stems, whole, parts = self.cache, set(), set(), []
         for w in words:
+            if w.isalpha() and w.isascii() and w.islower():
+                stems.add(w)
+                continue
             stem = w.rstrip(_TRAIL)
             if stem.isascii():
                 low = stem.lower()
@@ -87,9 +91,9 @@ class WordTokenizer:
             else:
                 whole.add(w)
         stems = list(stems)
-        lots = [stems[i : i + 1000] for i in range(0, len(stems), 1000)]
-        for some, e in zip(lots, self.merges.encode_batch_fast([" ".join(x) for x in lots], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, np.uint32)
+        for i in range(0, len(stems), 1000):
+            some = stems[i : i + 1000]
+            ids = np.array(self.merges.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
             at = (np.flatnonzero(self.ends[ids]) + 1) * 4
             if len(at) != len(some):  # not one token group for each word: leave it to the tokenizer
                 whole.update(some)
@@ -103,21 +107,35 @@ class WordTokenizer:
             cache[w] = np.array(e.ids, "<u4").tobytes()
         for w, low, tail in parts:
             cache[w] = cache[low] + cache[tail]
+        self.long += [w for some in (words, stems, whole) for w in some if len(w) > LONG_WORD]
 
     def ids(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text's ids begin and the last ends); null is empty.
 
         The distinct words of the texts are looked up once; the rest is array work."""
-        if len(self.cache) > MAX_WORDS:
-            self.forget()
         cache = self.cache
-        words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " "), " ")
+        if texts.offset:  # see _lots
+            texts = pc.take(texts, np.arange(len(texts)))
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        lower = pc.ascii_lower(texts)
+        # The vocabulary is in lower case. A-Z may be lowered first unless that made a special
+        # token, or a letter would then be composed with a mark that it isn't composed with now.
+        if not pc.any(pc.match_substring(lower, "<|")).as_py() and not pc.any(pc.match_substring_regex(texts, r"[A-Z]\p{M}")).as_py():
+            texts = lower
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         ends = words.offsets.to_numpy()[1:] - words.offsets[0].as_py()
         coded = words.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if new := [w for w in distinct if w not in cache]:
-            self._learn(new)
-        parts = [cache[w] for w in distinct]
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        parts = list(map(cache.get, distinct))
+        if None in parts:
+            self._learn([w for w, x in zip(distinct, parts, strict=True) if x is None])
+            parts = [cache[w] if x is None else x for w, x in zip(distinct, parts, strict=True)]
+        for w in self.long:
+            cache.pop(w, None)
+        self.long.clear()
+        self.recent = distinct
+        if len(cache) > MAX_WORDS:
+            self.forget()
         at = coded.indices.to_numpy().astype(np.int64)
         if end is not None:
             parts.append(int(end).to_bytes(4, "little"))

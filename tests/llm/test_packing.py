@@ -25,7 +25,7 @@ def test_tokens_of_odd_texts():
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=st.sampled_from("aBé.,!'st \n\t<|>endofx#$Σ́1"), max_size=40))
+@given(st.text(alphabet=st.sampled_from("aBJAé.,!'sT \n\t<|>enDOfx#$Σ́̌1"), max_size=40))
 def test_tokens_of_any_text(text):
     import pyarrow as pa
 
@@ -33,6 +33,14 @@ def test_tokens_of_any_text(text):
     assert flat.tolist() == encode([text])[0][:-1].tolist()
 
 
+def test_tokens_around_capitals_and_marks():
+    import pyarrow as pa
+
+    for text in ("<|ENDOFTEXT|> A", "<|endoftext|> A", "J̌ Ǩ K̇ É", "THE Cat.", "\u0041\u0323\u0302 B"):
+        flat, _ = P.tokenizer(P.default_tokenizer()).ids(pa.array([text]))
+        assert flat.tolist() == encode([text])[0][:-1].tolist()
+
+
 def check(docs, rows):
     want = defaultdict(list)
     for r, ids in zip(rows, encode([r.text for r in rows]), strict=True):

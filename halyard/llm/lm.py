@@ -66,8 +66,9 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     """(codes of all tokens, the distinct words that codes index, where each text ends).
 
     A-Z in lower case; words between space and 9-13; after each text its end. Null: empty."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    texts = pc.ascii_lower(texts)
+    if texts.offset:  # see _lots
+        texts = pc.take(texts, np.arange(len(texts)))
+    texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
     for blank in "\n\t\v\f\r":
         if pc.any(pc.match_substring(texts, blank)).as_py():
             texts = pc.replace_substring(texts, blank, " ")

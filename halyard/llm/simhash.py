@@ -241,8 +241,8 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, radius: int = RADI
 
     Candidates are texts of which one of two word SimHashes are within CANDIDATE bits (in
     crowds ``radius``); a candidate is verified on its five-word shingles. Equal texts (by a 64-bit hash) are one node,
-    and null counts as empty; of repeated rows one stays. Texts without a word are copies
-    of each other.
+    and null counts as empty; of repeated rows one stays. Texts without a word have no
+    shingles and are copies only of equal ones.
     """
     text = F.coalesce("text", F.lit(""))
     traits = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("node"), _traits(text).alias("t"))

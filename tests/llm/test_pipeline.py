@@ -46,9 +46,8 @@ def test_near_duplicate_stage_against_brute_force(spark, documents):
 def test_copies_leave_one(spark, odd_docs):
     out = simhash.keep_one(odd_docs)
     assert out.columns == odd_docs.columns
-    got = sorted((r.doc_id, (r.text or "")[:9]) for r in out.collect())
-    assert got == sorted([(1, "The quick"), (2, ""), (5, "Wort0 und"), (6, "x"), (7, "12345 !!!"), (8, "Zu Hause "), (4, " \t\n ")])[: len(got)] or len(got) in (6, 7)
-    assert {d for d, _ in got} >= {1, 2, 5, 6, 7, 8} and 9 not in {d for d, _ in got}
+    # 1 and null share a text, as do 2 (null) and 3 (empty), and 8 and 9.
+    assert sorted(r.doc_id for r in out.collect()) == [1, 2, 4, 5, 6, 7, 8]
     assert simhash.keep_one(odd_docs.limit(0)).count() == 0
 
 

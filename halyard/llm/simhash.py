@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from . import fingerprint
-from .common import LONG_WORD, ascii_words, materialise, release
+from .common import ascii_words, materialise, release
 from .fingerprint import shingle_hashes
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -175,59 +175,88 @@ SIMILARITY, SKETCH, WORDS = 0.8, 256, 5
 _MARKS = b".,;:!?\"'()"
 
 
-#: Fingerprints of the stage, by independent hashes of the same words, and the bits within
-#: which two texts of one of them are candidates: one more than the radius, as halves allow.
-TABLES, CANDIDATE = 2, 5
-
-
-class _WordHashes(dict):
-    """Word, without marks at its ends, to its hash. Bounded."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 150_000:
-            self.clear()
-        h = xxhash.xxh64_intdigest(word.strip(_MARKS), SEED)
-        if len(word) <= LONG_WORD:
-            self[word] = h
-        return h
-
-
-_word_hashes = _WordHashes()
+#: The commonest shingles come last in every text's order. They are counted on a sample of
+#: about ORDERED texts, and those seen SEEN times there are broadcast, at most COMMON of them.
+ORDERED, SEEN, COMMON = 32_768, 4, 200_000
+#: Room for rounding in sums and products of whole numbers with the similarity.
+ROUNDING = 1e-6
 
 
 def forget() -> None:
-    """Empty the caches at the end of a task."""
-    _word_hashes.clear()
+    """Empty the cache at the end of a task."""
     fingerprint.forget()
 
 
-def word_simhashes(text: str | None, tables: int = TABLES) -> list[int]:
-    """SimHashes of single words, each weighed by the root of its count.
-
-    A few changed words move them little, so copies with some edits stay within a few
-    bits; the roots keep the commonest words from making all long texts alike."""
-    words = ascii_words(text)
-    if not words:
-        return [0] * tables
-    hashes, counts = np.unique(np.fromiter(map(_word_hashes.__getitem__, words), np.uint64, len(words)), return_counts=True)
-    weights = np.sqrt(counts).astype(np.float32)
-    out = []
-    for j in range(tables):
-        h = hashes if not j else (hashes ^ (hashes >> np.uint64(29 + j))) * np.uint64(0x9E3779B97F4A7C15 + 2 * j)
-        h = h ^ (h >> np.uint64(32)) if j else h
-        ones = weights @ np.unpackbits(h.astype(">u8").view(np.uint8)).reshape(-1, 64).astype(np.float32)
-        out.append(int.from_bytes(np.packbits(ones * 2 > weights.sum()).tobytes(), "big"))
-    return out
-
-
-@F.pandas_udf(T.StructType([T.StructField("fps", T.ArrayType(T.LongType())), T.StructField("sketch", T.ArrayType(T.IntegerType()))]))
-def _traits(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _shingles(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in parts:
-        fps = [np.array(word_simhashes(t), np.uint64).view(np.int64) for t in texts]
-        yield pd.DataFrame({"fps": fps, "sketch": [(shingle_hashes(t, WORDS)[:SKETCH] >> np.uint64(32)).astype(np.uint32).view(np.int32) for t in texts]})
+        yield pd.Series([shingle_hashes(t, WORDS).view(np.int64) for t in texts])
     forget()
 
 
+def common_shingles(texts: DataFrame, rows: int, sample: int = ORDERED) -> np.ndarray:
+    """The commonest shingles of a sample of (text, node), rarest first. They decide speed, not results."""
+    share = int(min(1.0, sample / max(1, rows)) * (1 << 30))
+    some = texts.filter(F.pmod(F.xxhash64(F.lit(8), "node"), F.lit(1 << 30)) < share).dropDuplicates(["node"])
+    counts = some.select(F.explode(_shingles("text")).alias("h")).groupBy("h").count().filter(F.col("count") >= SEEN)
+    top = counts.orderBy(F.desc("count"), "h").limit(COMMON).toPandas()
+    return top["h"].to_numpy(np.int64)[::-1].view(np.uint64)
+
+
+def prefix(hashes: np.ndarray, keys: np.ndarray, ranks: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """The first shingles of a set, in one order for all texts (``ranks`` of the common
+    ``keys``, all others before them by hash): as many as two sets of this resemblance
+    can't both do without a common one."""
+    at = np.searchsorted(keys, hashes)
+    rank = np.zeros(len(hashes), np.int64)
+    inside = at < len(keys)
+    inside[inside] = keys[at[inside]] == hashes[inside]
+    rank[inside] = 1 + ranks[at[inside]]
+    most = len(hashes) - int(np.ceil(similarity * len(hashes) - ROUNDING)) + 1
+    return hashes[np.argsort(rank, kind="stable")[: most if len(hashes) else 0]]
+
+
+def _traits(spark, common: np.ndarray, similarity: float):
+    """A column function: text to its number of shingles, their prefix and their sketch."""
+    order = np.argsort(common)
+    shared = spark.sparkContext.broadcast((common[order], order))
+
+    @F.pandas_udf("n int, prefix array<long>, sketch array<int>")
+    def traits(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        keys, ranks = shared.value
+        for texts in parts:
+            out = []
+            for t in texts:
+                h = shingle_hashes(t, WORDS)
+                out.append((len(h), prefix(h, keys, ranks, similarity).view(np.int64), (h[:SKETCH] >> np.uint64(32)).astype(np.uint32).view(np.int32)))
+            yield pd.DataFrame(out, columns=["n", "prefix", "sketch"])
+        forget()
+
+    return traits
+
+
+def _may_match(similarity: float) -> str:
+    """Of x and y, met on the first shingle that they share, x with no more shingles: their
+    sizes and what is left of both after this shingle allow the similarity."""
+    return f"y.n * {similarity} <= x.n + {ROUNDING} AND least(x.n - x.pos, y.n - y.pos) >= (x.n + y.n) * {similarity / (1 + similarity)} - {ROUNDING}"
+
+
+def candidates(met: DataFrame, similarity: float, crowd: int) -> DataFrame:
+    """Distinct (a, b) of (key, node, n, pos, size): all pairs of at most ``crowd`` sharers
+    of a key that may match, and in crowds each member with one leader."""
+    groups = met.filter(F.col("size") <= crowd).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("n", "node", "pos"))).alias("all"))
+    # ``all`` holds at most ``crowd`` members. Only pairs that may match leave the array functions.
+    pairs = F.expr(f"flatten(transform(all, (x, i) -> transform(filter(slice(all, i + 2, size(all)), y -> {_may_match(similarity)}), y -> struct(x.node AS a, y.node AS b))))")
+    found = groups.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
+    dense = met.filter(F.col("size") > crowd)
+    if not dense.isEmpty():
+        # Copies of one original meet on its shingles: it is the one in most crowds.
+        around = dense.withColumn("around", F.count("*").over(W.partitionBy("node")))
+        lead = F.first(F.col("node")).over(W.partitionBy("key").orderBy(F.desc("around"), "node"))
+        found = found.unionByName(around.select(F.col("node").alias("a"), lead.alias("b")).filter("a != b"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def _resemblance(x, y):
     """Share of the smallest hashes of both sets that are in each: an estimate of their resemblance."""
     # Hashes are kept as 32 unsigned bits in ints: in unsigned order the negative ones come last.
@@ -236,20 +265,24 @@ def _resemblance(x, y):
     return F.size(F.array_intersect(F.array_intersect(x, y), both)) / F.greatest(F.size(both), F.lit(1))
 
 
-def keep_one(docs: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
+def keep_one(docs: DataFrame, similarity: float = SIMILARITY, crowd: int = CROWD) -> DataFrame:
     """One row of each group of exact and near copies, with all columns: the smallest doc_id.
 
-    Candidates are texts of which one of two word SimHashes are within CANDIDATE bits (in
-    crowds ``radius``); a candidate is verified on its five-word shingles. Equal texts (by a 64-bit hash) are one node,
+    Candidates are texts that share one of their first shingles (see ``prefix``): whatever
+    the edit, no pair of the similarity is without one. A candidate is verified on its
+    five-word shingles. Equal texts (by a 64-bit hash) are one node,
     and null counts as empty; of repeated rows one stays. Texts without a word have no
     shingles and are copies only of equal ones.
     """
     text = F.coalesce("text", F.lit(""))
-    traits = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("node"), _traits(text).alias("t"))
-    rows, _ = materialise(traits.select("id", "node", "t.fps", "t.sketch"), "traits")
-    # Copies agree in all but their id: the first fingerprint and sketch will do for each node.
-    nodes, _ = materialise(rows.groupBy("node").agg(F.min("id").alias("id"), F.first("fps").alias("fps")), "nodes")
-    pairs, _ = materialise(links(nodes.select("node", F.posexplode("fps").alias("tab", "fp")), radius, crowd, CANDIDATE), "pairs")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("node"), text.alias("text"))
+    common = common_shingles(texts, docs.count())
+    rows, _ = materialise(texts.select("id", "node", _traits(docs.sparkSession, common, similarity)("text").alias("t")).select("id", "node", "t.*"), "traits")
+    # Copies agree in all but their id: the first prefix and sketch will do for each node.
+    nodes, _ = materialise(rows.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "nodes")
+    keys = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "key"))
+    met, _ = materialise(keys.withColumn("size", F.count("*").over(W.partitionBy("key"))).filter("size > 1"), "met")
+    pairs, _ = materialise(candidates(met, similarity, crowd), "pairs")
     # Sketches are large: only those of candidates are moved on.
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sketches, _ = materialise(rows.select("node", "sketch").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("sketch").alias("sketch")), "sketches")

@@ -86,3 +86,19 @@ def test_stages_in_order(spark, sf_dir, documents):
 def test_run(spark, sf_dir):
     out = P.run(spark, sf_dir)
     assert out.count() > 0 and {"doc_id", "sequence_id", "offset", "length"} <= set(out.columns)
+
+
+def corpus(spark, texts):
+    return spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_copies_are_found_whatever_the_edit(spark):
+    rng = np.random.default_rng(7)
+    originals = [[f"w{x}" for x in rng.integers(0, 20000, n)] for n in rng.integers(60, 400, 120)]
+    cut = [w[: int(np.ceil(0.84 * len(w)))] for w in originals[:40]]
+    longer = [w + [f"v{x}" for x in rng.integers(0, 20000, int(0.2 * len(w)))] for w in originals[40:80]]
+    before = [[f"v{x}" for x in rng.integers(0, 20000, int(0.2 * len(w)))] + w for w in originals[80:]]
+    texts = [" ".join(w) for w in originals + cut + longer + before]
+    assert all(0.8 <= similar(texts[i], texts[120 + i]) < 0.86 for i in range(120))
+    kept = {r.doc_id for r in simhash.keep_one(corpus(spark, texts)).collect()}
+    assert len(kept & set(range(120, 240))) <= 3 and kept >= set(range(120))

@@ -243,7 +243,7 @@ def _may_match(similarity: float) -> str:
 
 def candidates(met: DataFrame, similarity: float, crowd: int) -> DataFrame:
     """Distinct (a, b) of (key, node, n, pos, size): all pairs of at most ``crowd`` sharers
-    of a key that may match, and in crowds each member with one leader."""
+    of a key that may match, and in crowds each member with one leader (``crowd_links`` has the rest)."""
     groups = met.filter(F.col("size") <= crowd).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("n", "node", "pos"))).alias("all"))
     # ``all`` holds at most ``crowd`` members. Only pairs that may match leave the array functions.
     pairs = F.expr(f"flatten(transform(all, (x, i) -> transform(filter(slice(all, i + 2, size(all)), y -> {_may_match(similarity)}), y -> struct(x.node AS a, y.node AS b))))")
@@ -257,6 +257,71 @@ def candidates(met: DataFrame, similarity: float, crowd: int) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+#: Members of a crowd that one task holds of either side.
+BLOCK = 512
+
+
+@F.pandas_udf(T.BinaryType())
+def _whole(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """All shingle hashes of a text."""
+    for texts in parts:
+        yield pd.Series([shingle_hashes(t, WORDS).tobytes() for t in texts])
+    forget()
+
+
+def _settled(similarity: float):
+    """Links of two blocks of a crowd (or of one with itself) on whole shingle sets. Members
+    already in one component aren't compared; all others are, each with each."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(h, np.uint64) for h in pdf["hashes"]]
+        sizes = np.array([len(x) for x in sets])
+        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        tokens, at = np.unique(np.concatenate(sets), return_inverse=True)
+        root = np.unique(pdf["root"], return_inverse=True)[1]
+        node, part, one = pdf["node"].to_numpy(), pdf["part"].to_numpy(), bool(pdf["i"].iloc[0] == pdf["j"].iloc[0])
+        mine, out = np.zeros(len(tokens), np.int32), []
+        for m in np.flatnonzero(part == pdf["i"].iloc[0]):
+            others = (root != root[m]) & (part == pdf["j"].iloc[0])
+            if one:
+                others[: m + 1] = False
+            if not others.any():
+                continue
+            held = at[starts[m] : starts[m] + sizes[m]]
+            mine[held] = 1
+            both = np.add.reduceat(mine[at], starts)
+            mine[held] = 0
+            hits = np.flatnonzero(others & (both >= similarity * (sizes[m] + sizes - both) - ROUNDING))
+            for o in hits[np.unique(root[hits], return_index=True)[1]]:
+                out.append((min(node[m], node[o]), max(node[m], node[o])))
+                root[root == root[o]] = root[m]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def crowd_links(met: DataFrame, found: DataFrame, texts: DataFrame, similarity: float, crowd: int) -> DataFrame:
+    """(a, b) of the crowds that the links to their leaders, with components ``found``, left
+    in more than one component: enough to join all members of the similarity."""
+    own = found.select(F.col("node").alias("_node"), "root")
+    dense = met.filter(F.col("size") > crowd).join(own, F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node"))
+    whole = W.partitionBy("key")
+    dense = dense.withColumn("low", F.min("n").over(whole)).withColumn("split", F.min("root").over(whole) != F.max("root").over(whole))
+    # Whoever is matched on its first common shingle has this much left after it.
+    may = (F.col("n") - F.col("pos")) >= similarity / (1 + similarity) * (F.greatest("low", F.col("n") * similarity) + F.col("n")) - ROUNDING
+    open_, _ = materialise(dense.filter("split").filter(may).select("key", "node", "root", F.count("*").over(whole).alias("of")).filter("of > 1"), "crowds")
+    if open_.isEmpty():
+        return open_.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    wanted = open_.select("node").distinct()
+    one = texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    sets, _ = materialise(one.select(F.col("node").alias("_node"), _whole("text").alias("hashes")), "crowd_sets")
+    blocks = F.ceil(F.col("of") / BLOCK).cast("int")
+    part = F.pmod(F.xxhash64("node", F.lit(5)), F.ceil(F.col("of") / BLOCK)).cast("int")
+    dealt = open_.withColumn("part", part).withColumn("c", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("key", F.least("part", "c").alias("i"), F.greatest("part", "c").alias("j"), "part", "node", "root")
+    return dealt.join(sets, F.col("node") == F.col("_node")).groupBy("key", "i", "j").applyInPandas(_settled(similarity), "a long, b long").distinct()
+
+
 def _resemblance(x, y):
     """Share of the smallest hashes of both sets that are in each: an estimate of their resemblance."""
     # Hashes are kept as 32 unsigned bits in ints: in unsigned order the negative ones come last.
@@ -269,7 +334,8 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, crowd: int = CROWD
     """One row of each group of exact and near copies, with all columns: the smallest doc_id.
 
     Candidates are texts that share one of their first shingles (see ``prefix``): whatever
-    the edit, no pair of the similarity is without one. A candidate is verified on its
+    the edit, no pair of the similarity is without one. In crowds (more than ``crowd``
+    sharers) members meet a leader first, then all those not yet in their component. A candidate is verified on its
     five-word shingles. Equal texts (by a 64-bit hash) are one node,
     and null counts as empty; of repeated rows one stays. Texts without a word have no
     shingles and are copies only of equal ones.
@@ -290,7 +356,10 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, crowd: int = CROWD
     y = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
     least = similarity - (similarity * (1 - similarity) / SKETCH) ** 0.5
     same = pairs.join(x, "a").join(y, "b").filter(_resemblance(F.col("x"), F.col("y")) >= least).select("a", "b")
+    same, _ = materialise(same, "same")
     found = components(same)
+    more = crowd_links(met, found, texts, similarity, crowd)
+    found = components(same.unionByName(more))
     grouped = nodes.select("node", "id").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # Of each group the smallest id (null last), then the smallest node.
     kept = grouped.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "node")).alias("k")).select(F.col("k.node").alias("_node"), F.col("k.id").alias("_id"))

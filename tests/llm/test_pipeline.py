@@ -102,3 +102,37 @@ def test_copies_are_found_whatever_the_edit(spark):
     assert all(0.8 <= similar(texts[i], texts[120 + i]) < 0.86 for i in range(120))
     kept = {r.doc_id for r in simhash.keep_one(corpus(spark, texts)).collect()}
     assert len(kept & set(range(120, 240))) <= 3 and kept >= set(range(120))
+
+
+def test_groups_of_copies_in_a_crowd(spark):
+    """Texts of one template, far from copies of each other, and copies of some of them."""
+    rng = np.random.default_rng(11)
+    template = [f"w{x}" for x in rng.integers(0, 5000, 300)]
+
+    def changed(words, share):
+        out = list(words)
+        for j in np.flatnonzero(rng.random(len(out)) < share):
+            out[j] = f"x{rng.integers(1 << 40)}"
+        return out
+
+    own = [changed(template, 0.025) for _ in range(240)]
+    copies = [changed(own[i // 3], 0.006) for i in range(180)]
+    texts = [" ".join(w) for w in own + copies]
+    sets = [shingle_hashes(t) for t in texts]
+    parent = list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    want = {find(i) for i in range(len(texts))}
+    assert 150 < len(want) < 260
+    kept = {r.doc_id for r in simhash.keep_one(corpus(spark, texts), crowd=8).collect()}
+    assert kept <= want  # no copy is left

@@ -100,12 +100,15 @@ class Profiles:
     ranks: np.ndarray  # (n-grams, languages), ``size`` where a profile lacks one
     size: int
 
-    def similarities(self, text: str | None) -> np.ndarray | None:
-        """1 - distance / largest possible distance to each profile; None without a letter."""
+    def ranked(self, text: str | None) -> np.ndarray:
+        """The text's most frequent n-grams in order, at most ``size``."""
         keys, counts = merged_counts(text) if text else (np.empty(0, np.int64),) * 2
-        if not len(keys) or not self.languages:
+        return keys[np.argsort(-counts, kind="stable")[: self.size]]
+
+    def similarities(self, top: np.ndarray) -> np.ndarray | None:
+        """1 - distance / largest possible distance of a ranked list to each profile; None without a letter."""
+        if not len(top) or not self.languages:
             return None
-        top = keys[np.argsort(-counts, kind="stable")[: self.size]]
         at = np.minimum(np.searchsorted(self.grams, top), len(self.grams) - 1)
         found = self.grams[at] == top
         place = np.arange(len(top))
@@ -115,18 +118,31 @@ class Profiles:
 
     def nearest(self, text: str | None) -> tuple[str, float]:
         """(language, similarity). Without a letter: ('und', 0). Ties: first by name."""
-        s = self.similarities(text)
+        s = self.similarities(self.ranked(text))
         return ("und", 0.0) if s is None else (self.languages[int(np.argmax(s))], float(s.max()))
 
     def behind(self, text: str | None, lang: str | None) -> float:
         """How far the similarity to ``lang`` is below the best; 0 for a null or unknown
-        ``lang``, 1 for a text without a letter."""
-        s = self.similarities(text)
-        if s is None:
+        ``lang``, 1 for a text without a letter or with no profile at its ``floor``."""
+        top = self.ranked(text)
+        s = self.similarities(top)
+        if s is None or s.max() < floor(len(top)):
             return 1.0
         return float(s.max() - s[self.languages.index(lang)]) if lang in self.languages else 0.0
 
 
+#: The least similarity of a text to its nearest language: SHORT_FLOOR up to FEW distinct
+#: n-grams (two words or so), FLOOR from MANY on, in between by their number. On sf0.1 no
+#: document is under 0.415 and no piece of one to three words under 0.29; unlearned
+#: languages in its alphabet reach 0.20 to 0.36, letter junk of ten words 0.31. Languages
+#: of very many characters, whose n-grams hardly fit a profile, would need lower ones.
+FLOOR, SHORT_FLOOR, FEW, MANY = 0.38, 0.28, 20, 100
+
+
+def floor(grams: int) -> float:
+    return float(np.interp(grams, (FEW, MANY), (SHORT_FLOOR, FLOOR)))
+
+
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Counts of each language's n-grams, added up batch by batch before the shuffle."""
     for pdf in batches:
@@ -205,7 +221,8 @@ MOST_BEHIND = 0.15
 def keep_identified(docs: DataFrame, size: int = PROFILE, most: float = MOST_BEHIND) -> DataFrame:
     """Rows in a recognisable language that is, where ``lang`` declares one, the declared one.
 
-    Rejects null texts, texts without a letter, and texts whose declared language is
+    Rejects null texts, texts without a letter, texts whose similarity to the nearest
+    language is under ``floor``, whatever ``lang`` is, and texts whose declared language is
     behind the nearest by ``most``. All columns of ``docs`` stay.
     """
     profiles = learn(docs, size)

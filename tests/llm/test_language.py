@@ -85,3 +85,20 @@ def test_stage_keeps_clean_documents(spark, documents):
     wrong = documents.limit(1).selectExpr("doc_id + 1000000 AS doc_id", "text", "CASE lang WHEN 'en' THEN 'fr' ELSE 'en' END AS lang", "source", "n_chars")
     none = documents.limit(1).selectExpr("doc_id + 2000000 AS doc_id", "'123 !!' AS text", "lang", "source", "n_chars")
     assert L.keep_identified(documents.union(wrong).union(none)).filter("doc_id >= 1000000").isEmpty()
+
+
+def test_stage_rejects_texts_in_no_learned_language(spark, documents):
+    texts = [
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+        "人人生而自由在尊严和权利上一律平等",
+        "Привет",
+        "xqzv kjwq zzxk qvjh wkpt xgfd bqnz jjkq vwxz qpzk tgbx kkqj",
+        "Sva ljudska bića rađaju se slobodna i jednaka u dostojanstvu i pravima. Ona su obdarena razumom i sviješću i trebaju jedna prema drugima postupati u duhu bratstva.",
+    ]
+    rows = [(1_000_000 + 10 * i + k, t, lang, "s", len(t)) for i, t in enumerate(texts) for k, lang in enumerate((None, "en"))]
+    short = documents.filter("lang IS NOT NULL AND size(split(text, ' ')) > 40").limit(20).selectExpr("doc_id + 2000000 AS doc_id", "array_join(slice(split(text, ' '), 1, 12), ' ') AS text", "IF(doc_id % 2 = 0, NULL, lang) AS lang", "source", "n_chars")
+    n = short.count()
+    kept = L.keep_identified(documents.union(spark.createDataFrame(rows, documents.schema)).union(short))
+    assert kept.filter("doc_id BETWEEN 1000000 AND 1999999").isEmpty()
+    assert kept.filter("doc_id >= 2000000").count() >= n - 1
+    assert kept.filter("doc_id < 1000000").count() >= 0.99 * documents.count()

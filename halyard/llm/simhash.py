@@ -169,10 +169,10 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: The stage's similarity: resemblance of five-word shingle sets, estimated on SKETCH
-#: smallest hashes (exact up to as many shingles). Estimates within one standard error count.
-SIMILARITY, SKETCH, WORDS = 0.8, 256, 5
-_MARKS = b".,;:!?\"'()"
+#: The stage's similarity: resemblance of five-word shingle sets. An estimate on the SKETCH
+#: smallest hashes that is CLEAR standard errors below it discards a pair; all others are
+#: verified on the whole sets.
+SIMILARITY, SKETCH, WORDS, CLEAR = 0.8, 256, 5, 5
 
 
 #: The commonest shingles come last in every text's order. They are counted on a sample of
@@ -269,6 +269,36 @@ def _whole(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     forget()
 
 
+def _alike(similarity: float):
+    """A column function: whether two whole shingle sets have the similarity."""
+
+    @F.pandas_udf("boolean")
+    def alike(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for xs, ys in parts:
+            out = []
+            for x, y in zip(xs, ys, strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                out.append(both >= similarity * (len(x) + len(y) - both) - ROUNDING)
+            yield pd.Series(out, dtype="bool")
+
+    return alike
+
+
+def whole_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(_node, hashes) of the wanted nodes: all shingle hashes of their texts."""
+    one = texts.join(wanted.distinct(), "node", "left_semi").dropDuplicates(["node"])
+    return materialise(one.select(F.col("node").alias("_node"), _whole("text").alias("hashes")), "sets")[0]
+
+
+def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Those (a, b) whose whole shingle sets have the similarity."""
+    sets = whole_sets(texts, pairs.select(F.explode(F.array("a", "b")).alias("node")))
+    x = sets.select(F.col("_node").alias("a"), F.col("hashes").alias("x"))
+    y = sets.select(F.col("_node").alias("b"), F.col("hashes").alias("y"))
+    return pairs.join(x, "a").join(y, "b").filter(_alike(similarity)("x", "y")).select("a", "b")
+
+
 def _settled(similarity: float):
     """Links of two blocks of a crowd (or of one with itself) on whole shingle sets. Members
     already in one component aren't compared; all others are, each with each."""
@@ -312,9 +342,7 @@ def crowd_links(met: DataFrame, found: DataFrame, texts: DataFrame, similarity:
     open_, _ = materialise(dense.filter("split").filter(may).select("key", "node", "root", F.count("*").over(whole).alias("of")).filter("of > 1"), "crowds")
     if open_.isEmpty():
         return open_.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    wanted = open_.select("node").distinct()
-    one = texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    sets, _ = materialise(one.select(F.col("node").alias("_node"), _whole("text").alias("hashes")), "crowd_sets")
+    sets = whole_sets(texts, open_.select("node"))
     blocks = F.ceil(F.col("of") / BLOCK).cast("int")
     part = F.pmod(F.xxhash64("node", F.lit(5)), F.ceil(F.col("of") / BLOCK)).cast("int")
     dealt = open_.withColumn("part", part).withColumn("c", F.explode(F.sequence(F.lit(0), blocks - 1)))
@@ -335,9 +363,8 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, crowd: int = CROWD
 
     Candidates are texts that share one of their first shingles (see ``prefix``): whatever
     the edit, no pair of the similarity is without one. In crowds (more than ``crowd``
-    sharers) members meet a leader first, then all those not yet in their component. A candidate is verified on its
-    five-word shingles. Equal texts (by a 64-bit hash) are one node,
-    and null counts as empty; of repeated rows one stays. Texts without a word have no
+    sharers) members meet a leader first, then all those not yet in their component. A candidate is verified on all
+    its five-word shingles. Equal texts (by a 64-bit hash) are one node, and null counts as empty; of repeated rows one stays. Texts without a word have no
     shingles and are copies only of equal ones.
     """
     text = F.coalesce("text", F.lit(""))
@@ -354,9 +381,10 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, crowd: int = CROWD
     sketches, _ = materialise(rows.select("node", "sketch").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("sketch").alias("sketch")), "sketches")
     x = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
     y = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
-    least = similarity - (similarity * (1 - similarity) / SKETCH) ** 0.5
-    same = pairs.join(x, "a").join(y, "b").filter(_resemblance(F.col("x"), F.col("y")) >= least).select("a", "b")
-    same, _ = materialise(same, "same")
+    least = similarity - CLEAR * (similarity * (1 - similarity) / SKETCH) ** 0.5
+    close = pairs.join(x, "a").join(y, "b").filter(_resemblance(F.col("x"), F.col("y")) >= least).select("a", "b")
+    close, _ = materialise(close, "close")
+    same, _ = materialise(verified(close, texts, similarity), "same")
     found = components(same)
     more = crowd_links(met, found, texts, similarity, crowd)
     found = components(same.unionByName(more))

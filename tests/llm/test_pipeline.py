@@ -136,3 +136,36 @@ def test_groups_of_copies_in_a_crowd(spark):
     assert 150 < len(want) < 260
     kept = {r.doc_id for r in simhash.keep_one(corpus(spark, texts), crowd=8).collect()}
     assert kept <= want  # no copy is left
+
+
+def test_pairs_are_verified_on_whole_texts(spark):
+    """Pairs around 0.8 of far more shingles than a sketch holds: those at 0.8 or more, no others."""
+    rng = np.random.default_rng(13)
+    texts = []
+    for i in range(120):
+        words = [f"w{x}" for x in rng.integers(0, 50000, 1500)]
+        texts += [" ".join(words), " ".join(words[: int(1200 + rng.integers(-45, 46))])]
+    want = {i for i in range(240) if i % 2 == 0 or similar(texts[i - 1], texts[i]) < 0.8}
+    assert 150 < len(want) < 210
+    assert {r.doc_id for r in simhash.keep_one(corpus(spark, texts)).collect()} == want
+
+
+def test_documents_against_exact_components(spark, documents):
+    rows = [r for r in documents.collect()]
+    sets = [shingle_hashes(r.text) for r in rows]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if rows[i].text == rows[j].text or both and both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                parent[find(i)] = find(j)
+    least = defaultdict(list)
+    for i, r in enumerate(rows):
+        least[find(i)].append(r.doc_id)
+    assert sorted(r.doc_id for r in simhash.keep_one(documents).collect()) == sorted(map(min, least.values()))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import WORD
+from .common import WORD, boxed, materialise
 
 SEED = 20240229
 SALTS = 256
@@ -48,43 +48,52 @@ def targets(sizes: DataFrame, cap: float = 3.0, cycle: int = 3) -> DataFrame:
     return levels.select("source", "source_size", F.least(F.col("source_size") * cap, F.coalesce(open_level * F.col("weight"), F.col("source_size") * cap)).alias("target"))
 
 
+def sized(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """(row, source, key, size, salt, tie, same): ``row`` has all columns of ``docs``."""
+    text_of_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    tie = F.md5(F.concat(F.lit(f"{seed}:"), text_of_id).cast("binary"))
+    source = F.col("source")
+    return boxed(docs, source=source, key=_key(source), size=size_col(F.col("text")), salt=F.substring(tie, 1, 2), tie=tie, same=F.xxhash64("text"))
+
+
+def _key(source):
+    return F.coalesce(F.concat(F.lit("s"), source), F.lit("null"))
+
+
 def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """``docs`` (any columns, among them doc_id, text, source) with ``_size``,
-    ``_source_size``, ``_target`` and ``_copies``; no row is dropped.
+    """(row, size, source_size, target, copies) of every row of ``docs`` (any columns, among
+    them doc_id, text, source): ``row`` holds them all, so their names can't clash.
 
     Null text or one without words: size 0, copies drawn as for any document. Null
-    source: a source of its own. Repeated rows: each is drawn for itself. Ranks come
-    from counts of small keys (source, size, salt): no window holds more than the rows
-    of one key, and a hot source is spread over all its sizes and 256 salts.
+    source: a source of its own. Repeated rows: each is drawn for itself. An empty table
+    stays empty.
     """
-    text_of_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    sized = docs.withColumns({
-        "_size": size_col(F.col("text")),
-        "_key": F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")),
-        "_tie": F.md5(F.concat(F.lit(f"{seed}:"), text_of_id).cast("binary")),
-        "_same": F.xxhash64("text"),
-    })
-    sized = sized.withColumn("_salt", F.substring("_tie", 1, 2))
-    cells = sized.groupBy("_key", "source", "_size", "_salt").agg(F.count("*").alias("n"))
-    goal = targets(cells.groupBy("source").agg(F.sum(F.col("n") * F.col("_size")).alias("source_size")))
-    goal = goal.select(F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")).alias("_g"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"))
+    return draw(sized(docs, seed), seed)
+
+
+def draw(rows: DataFrame, seed: int = SEED) -> DataFrame:
+    """``mix`` of ``sized`` rows. Ranks come from counts of small keys (source, size, salt):
+    no window holds more than the rows of one key, and a hot source is spread over all its
+    sizes and 256 salts."""
+    cells = rows.groupBy("key", "source", "size", "salt").agg(F.count("*").alias("n"))
+    goal = targets(cells.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")))
+    goal = goal.select(_key(F.col("source")).alias("_g"), "source_size", "target")
     # Rows before a cell: those of smaller sizes, a sum over a source's distinct sizes, and
     # those of the same size in smaller salts, a sum over 256 salts at most.
-    sizes = cells.groupBy("_key", "_size").agg(F.sum("n").alias("n"))
-    below = F.coalesce(F.sum("n").over(W.partitionBy("_key").orderBy("_size").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    sizes = sizes.select("_key", "_size", below.alias("_below"))
-    inside = F.coalesce(F.sum("n").over(W.partitionBy("_key", "_size").orderBy("_salt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    cells = cells.select("_key", "_size", "_salt", inside.alias("_inside")).join(sizes, ["_key", "_size"])
-    cells = cells.select("_key", "_size", "_salt", (F.col("_below") + F.col("_inside")).alias("_before"))
-    cells = cells.join(goal, cells["_key"] == goal["_g"]).drop("_g")
+    sizes = cells.groupBy("key", "size").agg(F.sum("n").alias("n"))
+    below = F.coalesce(F.sum("n").over(W.partitionBy("key").orderBy("size").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select("key", "size", below.alias("below"))
+    inside = F.coalesce(F.sum("n").over(W.partitionBy("key", "size").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    cells = cells.select("key", "size", "salt", inside.alias("inside")).join(sizes, ["key", "size"])
+    cells = cells.select("key", "size", "salt", (F.col("below") + F.col("inside")).alias("before"))
+    cells = cells.join(goal, cells["key"] == goal["_g"]).drop("_g")
     # The same three keys for the rank and the join: the documents are shuffled once.
-    rank = F.row_number().over(W.partitionBy("_key", "_size", "_salt").orderBy("_tie", "_same"))
-    placed = sized.withColumn("_rank", rank).join(cells, ["_key", "_size", "_salt"], "left")
-    rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(F.lit(0.0))
-    i = F.col("_before") + F.col("_rank") - 1
+    rank = F.row_number().over(W.partitionBy("key", "size", "salt").orderBy("tie", "same"))
+    placed = rows.drop("source").withColumn("rank", rank).join(cells, ["key", "size", "salt"], "left")
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    i = F.col("before") + F.col("rank") - 1
     copies = F.floor((i + 1) * rate + offset(seed)) - F.floor(i * rate + offset(seed))
-    placed = placed.withColumn("_copies", copies.cast("long"))
-    return placed.select(*[placed[f"`{c}`"] for c in docs.columns], "_size", "_source_size", "_target", "_copies")
+    return placed.select("row", "size", "source_size", "target", copies.cast("long").alias("copies"))
 
 
 def offset(seed: int) -> float:
@@ -95,13 +104,15 @@ def offset(seed: int) -> float:
 
 
 def emit(mixed: DataFrame) -> DataFrame:
-    """The mix itself: each row as often as it has copies, without the helper columns."""
-    return mixed.filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).drop("_copy", "_size", "_source_size", "_target", "_copies")
+    """The mix itself: each row as often as it has copies, with the columns that it came with."""
+    return mixed.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 def mixing_query(docs: DataFrame) -> DataFrame:
-    m = mix(docs.select("doc_id", "text", "source"))
-    return m.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_size") * F.col("_copies")).alias("taken"), F.col("_copies").alias("copies"))
+    # Words are counted once: what is drawn from has no texts.
+    rows, _ = materialise(sized(docs.select("doc_id", "text", "source")).withColumn("row", F.struct("row.doc_id")), "sized")
+    m = draw(rows)
+    return m.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
 def mixing_sql(seed: int = SEED, cap: float = 3.0, relation: str = "documents") -> str:

@@ -62,6 +62,6 @@ def test_caps_nulls_and_empty(spark):
 def test_emit_keeps_columns(odd_docs):
     out = M.emit(M.mix(odd_docs))
     assert out.columns == odd_docs.columns
-    copies = M.mix(odd_docs).groupBy("doc_id").sum("_copies").collect()
+    copies = M.mix(odd_docs).groupBy("row.doc_id").sum("copies").collect()
     got = Counter(r.doc_id for r in out.collect())
     assert got == Counter({r.doc_id: r[1] for r in copies if r[1]})

@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import uuid
+from collections.abc import Callable
 
 import pyarrow as pa
 
@@ -33,6 +34,34 @@ def release(spark: SparkSession, *paths: str) -> None:
     for p in paths:
         at = jvm.org.apache.hadoop.fs.Path(p).getParent()
         at.getFileSystem(conf).delete(at, True)
+    jvm.System.gc()  # shuffle files go when the driver's references to them are collected
+
+
+def bucketed(df: DataFrame, key: str) -> tuple[DataFrame, Callable[[], None]]:
+    """``materialise``, in buckets of ``key``: later joins on it move the other side alone.
+    Returns the table and a function that deletes it."""
+    spark = df.sparkSession
+    name = f"halyard_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}/rows"
+    many = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(many, key).sortBy(key).option("path", path).saveAsTable(name)
+
+    def drop() -> None:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        release(spark, path)
+
+    return spark.table(name), drop
+
+
+def boxed(docs: DataFrame, **helpers) -> DataFrame:
+    """All columns of ``docs`` in one struct ``row`` beside the helper columns, so that no
+    name of theirs, dots included, can clash with a helper's. ``row.*`` has them back."""
+    whole = F.struct(*[F.col(quoted(c)).alias(c) for c in docs.columns]).alias("row")
+    return docs.select(whole, *[v.alias(k) for k, v in helpers.items()])
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

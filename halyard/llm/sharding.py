@@ -14,6 +14,8 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import boxed, quoted
+
 SHARDS, SLOTS = 64, 16381  # slots: a prime, over a hundred for each shard
 MAX_SLOTS = 1_000_003
 
@@ -49,7 +51,7 @@ def lookup_table(shards: list[str], slots: int) -> list[int]:
 def slot_of(key: str, slots: int):
     """Slot of a key column: 60 bits of its MD5 modulo the table's size; null is the
     empty text. MD5 so that any engine can place a row."""
-    digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
+    digest = F.md5(F.coalesce(F.col(quoted(key)).cast("string"), F.lit("")).cast("binary"))
     return (F.conv(F.substring(digest, 1, 15), 16, 10).cast("long") % slots).cast("int")
 
 
@@ -63,13 +65,15 @@ def assign_shards(df: DataFrame, key: str, shards: list[str] | None = None, slot
 
     The table is broadcast: at most ``MAX_SLOTS`` pairs of ints, whatever the input.
     Null key: placed as the empty text. Equal keys share a shard. Columns of ``df``
-    named as the two new ones are replaced; an empty table stays empty.
+    named as the two new ones are replaced, all others kept, whatever their names; an empty
+    table stays empty.
     """
     shards = shards or [f"shard-{i}" for i in range(SHARDS)]
     lookup = table_frame(df.sparkSession, lookup_table(shards, slots))
-    kept = [df[c] for c in df.columns if c not in (slot_col, shard_col)]
-    placed = df.select(*kept, slot_of(key, slots).alias("_place"))
-    return placed.join(F.broadcast(lookup), placed["_place"] == lookup["_slot"]).select(*[placed[c.replace("`", "``")] for c in placed.columns if c != "_place"], placed["_place"].alias(slot_col), lookup["_owner"].alias(shard_col))
+    kept = df.select(*[F.col(quoted(c)) for c in df.columns if c == key or c not in (slot_col, shard_col)])
+    placed = boxed(kept, place=slot_of(key, slots)).join(F.broadcast(lookup), F.col("place") == F.col("_slot"))
+    old = [F.col(f"row.{quoted(c)}").alias(c) for c in df.columns if c not in (slot_col, shard_col)]
+    return placed.select(*old, F.col("place").alias(slot_col), F.col("_owner").alias(shard_col))
 
 
 def sharding_sql(shards: int = SHARDS, slots: int = SLOTS) -> str:

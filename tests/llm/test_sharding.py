@@ -40,9 +40,10 @@ def test_table_against_brute_force():
 
 
 def test_rows(spark, odd_docs):
-    docs = odd_docs.withColumnRenamed("rank", "slot").withColumnRenamed("size", "shard")
+    docs = odd_docs.withColumnRenamed("rank", "slot").withColumnRenamed("size", "shard").withColumnRenamed("fp", "a.b").withColumnRenamed("score", "_place")
     out = S.assign_shards(docs, "doc_id", ["a", "b", "c"], 101)
     assert out.count() == docs.count() and out.columns.count("slot") == 1
+    assert {"a.b", "_place"} < set(out.columns) and {r["a.b"] for r in out.collect()} == {"fp"}
     by = collections.defaultdict(set)
     for r in out.collect():
         by[r.doc_id].add((r.slot, r.shard))

@@ -6,10 +6,9 @@ Two fingerprints at Hamming distance ``2r`` or less have a point between them wi
 A ball of radius 2 over 64 bits has 2081 variants, too much to shuffle for every
 fingerprint. So the bits are cut into two halves: at distance 4 or less one half is at
 distance 2 or less, and the halves' balls of radius 1 (33 variants each) meet. Pairs
-that share a half's variant are verified on all 64 bits. Where many fingerprints share
-a variant (large groups of near copies), pairs aren't formed: all of its members also
-emit the full ball of radius 2, whose sharers are linked by the triangle inequality, so
-each is linked to the smallest sharer alone. Nothing is capped and no link is lost.
+that share a half's variant are verified on all 64 bits: first each sharer with one
+leader of the variant, then, where that leaves the sharers in several components, those
+of different components with each other. Nothing is capped and no link is lost.
 """
 
 from __future__ import annotations
@@ -25,13 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from . import fingerprint
 from .common import ascii_words, materialise, release
-from .fingerprint import shingle_hashes
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
-#: A half's variant shared by more distinct fingerprints than this is handled by full balls.
-CROWD = 48
 
 
 def simhash(text: str | None, k: int = SHINGLE, seed: int = SEED) -> int:
@@ -48,12 +43,17 @@ def simhash(text: str | None, k: int = SHINGLE, seed: int = SEED) -> int:
         starts = [0, *ends[:-k].tolist()]
         digest = xxhash.xxh64_intdigest
         hashes = [digest(line[a:b], seed) for a, b in zip(starts, (ends[k - 1 :] - 1).tolist(), strict=True)]
-    raw = np.array(hashes, ">u8")
+    return bits_of(np.array(hashes, np.uint64)) % (1 << 64)
+
+
+def bits_of(hashes: np.ndarray) -> int:
+    """64 bits, as a signed number: a bit is 1 if set in over half the hashes."""
+    raw = hashes.astype(">u8")
     ones = np.zeros(64, np.int64)
     for i in range(0, len(raw), 65_536):
         bits = np.unpackbits(raw[i : i + 65_536].view(np.uint8)).reshape(-1, 64)
         ones += bits.sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(ones * 2 > len(raw)).tobytes(), "big")
+    return int.from_bytes(np.packbits(ones * 2 > len(raw)).tobytes(), "big", signed=True)
 
 
 @F.pandas_udf(T.LongType())
@@ -73,47 +73,59 @@ def _ball(fp, masks: list[int]):
     return F.transform(F.array(*[F.lit(m).cast("long") for m in masks]), lambda m: fp.bitwiseXOR(m))
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, crowd: int = CROWD, most: int | None = None) -> DataFrame:
-    """(a, b) of distinct nodes of (node, fp), all within ``most`` bits (``radius`` unless
-    given): enough of them that their components are those of all links within ``radius``.
+def ball_keys(fp, radius: int = RADIUS):
+    """The variants of both halves of a fingerprint column, as an array of longs: any two
+    fingerprints within ``radius`` bits share one."""
+    half, low = radius // 2, (1 << 32) - 1
+    near = -(-half // 2)  # a half at distance <= half has its middle within this
+    return F.concat(
+        F.transform(_ball(fp, _flips(range(32), near)), lambda v: v.bitwiseAND(F.lit(low).cast("long"))),
+        F.transform(_ball(fp, _flips(range(32, 64), near)), lambda v: F.shiftrightunsigned(v, 32).bitwiseOR(F.lit(1 << 32).cast("long"))),
+    )
+
+
+def leaders(met: DataFrame, *carried: str) -> DataFrame:
+    """Rows of (key, node, ...) but the leaders, with ``lead``: of each key's sharers the one
+    with the most shared keys, as the copies of one original meet around it.
+
+    Leaders come from an aggregate that is combined before its shuffle, and are joined on,
+    so that the rows of a hot key can be split over tasks."""
+    around = met.withColumn("_around", F.count("*").over(W.partitionBy("node")))
+    lead = around.groupBy(F.col("key").alias("_key")).agg(F.max(F.struct("_around", "node", *carried)).alias("lead"))
+    return around.join(lead, F.col("key") == F.col("_key")).filter("node != lead.node").drop("_key", "_around")
 
-    With a column ``tab``, fingerprints meet within their own table only. Every pair that
-    shares no crowded half-variant is returned itself if within ``most``; up to
-    ``radius + 1`` bits the halves find all of these. In a crowd each member is linked, on
-    every full-ball variant, to the sharer with the most neighbours, as the copies of
-    one original lie around it.
+
+def open_pairs(met: DataFrame, may) -> DataFrame:
+    """Distinct (a, b) of the sharers x and y of a key (key, node, root, ...) that are in
+    different components and for which ``may`` holds."""
+    whole = W.partitionBy("key")
+    split = met.withColumn("_split", F.min("root").over(whole) != F.max("root").over(whole)).filter("_split").drop("_split")
+    split, _ = materialise(split, "open")
+    met_on = (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root")) & may
+    both = split.alias("x").join(split.alias("y"), met_on)
+    return both.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(a, b) of distinct nodes of (node, fp), all within ``radius`` bits: enough of them
+    that their components are those of all links within ``radius``.
+
+    The sharers of a half's variant meet its leader first. Variants whose sharers are then
+    still in several components are gone through pair by pair, between components alone:
+    the pairs left out are within one component already. One rule for groups of any size.
     """
     if radius not in (2, 4):
         raise ValueError("radius: 2 or 4")
-    half, low = radius // 2, (1 << 32) - 1
-    near = -(-half // 2)  # a half at distance <= half has its middle within this
-    fp, most = F.col("fp"), radius if most is None else most
-    if "tab" not in nodes.columns:
-        nodes = nodes.withColumn("tab", F.lit(0))
-    side = F.shiftleft(F.col("tab").cast("long"), 33)
-    keys = F.concat(
-        F.transform(_ball(fp, _flips(range(32), near)), lambda v: v.bitwiseAND(F.lit(low).cast("long")).bitwiseOR(side)),
-        F.transform(_ball(fp, _flips(range(32, 64), near)), lambda v: F.shiftrightunsigned(v, 32).bitwiseOR(F.lit(1 << 32).cast("long")).bitwiseOR(side)),
-    )
-    ball = nodes.select("node", "fp", F.explode(keys).alias("key"))
-    met, _ = materialise(ball.withColumn("n", F.count("*").over(W.partitionBy("key"))).filter("n > 1"), "met")
-    groups = met.filter(F.col("n") <= crowd).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("node", "fp"))).alias("all"))
-    # ``all`` holds at most ``crowd`` members. Only verified pairs leave the array functions.
-    pairs = F.expr(
-        f"flatten(transform(all, (x, i) -> transform(filter(slice(all, i + 2, size(all)), y -> bit_count(x.fp ^ y.fp) <= {most}),"
-        " y -> struct(x.node AS a, y.node AS b))))"
-    )
-    found = groups.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
-    tab = F.shiftright("key", 33).alias("tab")
-    dense = met.filter(F.col("n") > crowd).groupBy("node", "fp", tab).agg(F.sum("n").alias("around"))
-    if not dense.isEmpty():
-        # Dealt in turn, so that each task makes as many variants as any other.
-        spread = dense.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        full = spread.select("node", "around", "tab", F.explode(_ball(fp, _flips(range(64), half))).alias("v"))
-        lead = F.first(F.col("node")).over(W.partitionBy("v", "tab").orderBy(F.desc("around"), "node"))
-        star = full.select(F.col("node").alias("a"), lead.alias("b")).filter("a != b")
-        found = found.unionByName(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    return found.distinct()
+    ball = nodes.select("node", "fp", F.explode(ball_keys(F.col("fp"), radius)).alias("key"))
+    met, at = materialise(ball.withColumn("_n", F.count("*").over(W.partitionBy("key"))).filter("_n > 1").drop("_n"), "met")
+    star = leaders(met, "fp").filter(f"bit_count(fp ^ lead.fp) <= {radius}")
+    star, _ = materialise(star.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct(), "star")
+    own = components(star).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    rooted = met.join(own, F.col("node") == F.col("_node"), "left").select("key", "node", "fp", F.coalesce("_root", "node").alias("root"))
+    near = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= radius
+    rest, _ = materialise(open_pairs(rooted, near), "rest")
+    release(nodes.sparkSession, at)
+    return star.unionByName(rest).distinct()
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -151,7 +163,7 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("b").alias("node"), F.col("a").alias("root")).union(now.select(F.col("a").alias("node"), F.col("a").alias("root"))).distinct()
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
+def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row, over whole texts.
 
     Null or empty text, or one without words: fingerprint zero, linked like any other.
@@ -160,239 +172,10 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -
     """
     rows, _ = materialise(docs.select("doc_id", fingerprint_udf("text").alias("fp")), "fingerprints")
     nodes = rows.select(F.col("fp").alias("node"), "fp").distinct()
-    found = components(links(nodes, radius, crowd))
+    found = components(links(nodes, radius))
     reps = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     joined = reps.join(found, reps["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = joined.join(smallest, "root").select(F.col("fp").alias("_fp"), "component_id")
     out = rows.join(by_fp, rows["fp"] == by_fp["_fp"])
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-#: The stage's similarity: resemblance of five-word shingle sets. An estimate on the SKETCH
-#: smallest hashes that is CLEAR standard errors below it discards a pair; all others are
-#: verified on the whole sets.
-SIMILARITY, SKETCH, WORDS, CLEAR = 0.8, 256, 5, 5
-
-
-#: The commonest shingles come last in every text's order. They are counted on a sample of
-#: about ORDERED texts, and those seen SEEN times there are broadcast, at most COMMON of them.
-ORDERED, SEEN, COMMON = 32_768, 4, 200_000
-#: Room for rounding in sums and products of whole numbers with the similarity.
-ROUNDING = 1e-6
-
-
-def forget() -> None:
-    """Empty the cache at the end of a task."""
-    fingerprint.forget()
-
-
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _shingles(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for texts in parts:
-        yield pd.Series([shingle_hashes(t, WORDS).view(np.int64) for t in texts])
-    forget()
-
-
-def common_shingles(texts: DataFrame, rows: int, sample: int = ORDERED) -> np.ndarray:
-    """The commonest shingles of a sample of (text, node), rarest first. They decide speed, not results."""
-    share = int(min(1.0, sample / max(1, rows)) * (1 << 30))
-    some = texts.filter(F.pmod(F.xxhash64(F.lit(8), "node"), F.lit(1 << 30)) < share).dropDuplicates(["node"])
-    counts = some.select(F.explode(_shingles("text")).alias("h")).groupBy("h").count().filter(F.col("count") >= SEEN)
-    top = counts.orderBy(F.desc("count"), "h").limit(COMMON).toPandas()
-    return top["h"].to_numpy(np.int64)[::-1].view(np.uint64)
-
-
-def prefix(hashes: np.ndarray, keys: np.ndarray, ranks: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
-    """The first shingles of a set, in one order for all texts (``ranks`` of the common
-    ``keys``, all others before them by hash): as many as two sets of this resemblance
-    can't both do without a common one."""
-    at = np.searchsorted(keys, hashes)
-    rank = np.zeros(len(hashes), np.int64)
-    inside = at < len(keys)
-    inside[inside] = keys[at[inside]] == hashes[inside]
-    rank[inside] = 1 + ranks[at[inside]]
-    most = len(hashes) - int(np.ceil(similarity * len(hashes) - ROUNDING)) + 1
-    return hashes[np.argsort(rank, kind="stable")[: most if len(hashes) else 0]]
-
-
-def _traits(spark, common: np.ndarray, similarity: float):
-    """A column function: text to its number of shingles, their prefix and their sketch."""
-    order = np.argsort(common)
-    shared = spark.sparkContext.broadcast((common[order], order))
-
-    @F.pandas_udf("n int, prefix array<long>, sketch array<int>")
-    def traits(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        keys, ranks = shared.value
-        for texts in parts:
-            out = []
-            for t in texts:
-                h = shingle_hashes(t, WORDS)
-                out.append((len(h), prefix(h, keys, ranks, similarity).view(np.int64), (h[:SKETCH] >> np.uint64(32)).astype(np.uint32).view(np.int32)))
-            yield pd.DataFrame(out, columns=["n", "prefix", "sketch"])
-        forget()
-
-    return traits
-
-
-def _may_match(similarity: float) -> str:
-    """Of x and y, met on the first shingle that they share, x with no more shingles: their
-    sizes and what is left of both after this shingle allow the similarity."""
-    return f"y.n * {similarity} <= x.n + {ROUNDING} AND least(x.n - x.pos, y.n - y.pos) >= (x.n + y.n) * {similarity / (1 + similarity)} - {ROUNDING}"
-
-
-def candidates(met: DataFrame, similarity: float, crowd: int) -> DataFrame:
-    """Distinct (a, b) of (key, node, n, pos, size): all pairs of at most ``crowd`` sharers
-    of a key that may match, and in crowds each member with one leader (``crowd_links`` has the rest)."""
-    groups = met.filter(F.col("size") <= crowd).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("n", "node", "pos"))).alias("all"))
-    # ``all`` holds at most ``crowd`` members. Only pairs that may match leave the array functions.
-    pairs = F.expr(f"flatten(transform(all, (x, i) -> transform(filter(slice(all, i + 2, size(all)), y -> {_may_match(similarity)}), y -> struct(x.node AS a, y.node AS b))))")
-    found = groups.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
-    dense = met.filter(F.col("size") > crowd)
-    if not dense.isEmpty():
-        # Copies of one original meet on its shingles: it is the one in most crowds.
-        around = dense.withColumn("around", F.count("*").over(W.partitionBy("node")))
-        lead = F.first(F.col("node")).over(W.partitionBy("key").orderBy(F.desc("around"), "node"))
-        found = found.unionByName(around.select(F.col("node").alias("a"), lead.alias("b")).filter("a != b"))
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-#: Members of a crowd that one task holds of either side.
-BLOCK = 512
-
-
-@F.pandas_udf(T.BinaryType())
-def _whole(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """All shingle hashes of a text."""
-    for texts in parts:
-        yield pd.Series([shingle_hashes(t, WORDS).tobytes() for t in texts])
-    forget()
-
-
-def _alike(similarity: float):
-    """A column function: whether two whole shingle sets have the similarity."""
-
-    @F.pandas_udf("boolean")
-    def alike(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for xs, ys in parts:
-            out = []
-            for x, y in zip(xs, ys, strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                out.append(both >= similarity * (len(x) + len(y) - both) - ROUNDING)
-            yield pd.Series(out, dtype="bool")
-
-    return alike
-
-
-def whole_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(_node, hashes) of the wanted nodes: all shingle hashes of their texts."""
-    one = texts.join(wanted.distinct(), "node", "left_semi").dropDuplicates(["node"])
-    return materialise(one.select(F.col("node").alias("_node"), _whole("text").alias("hashes")), "sets")[0]
-
-
-def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Those (a, b) whose whole shingle sets have the similarity."""
-    sets = whole_sets(texts, pairs.select(F.explode(F.array("a", "b")).alias("node")))
-    x = sets.select(F.col("_node").alias("a"), F.col("hashes").alias("x"))
-    y = sets.select(F.col("_node").alias("b"), F.col("hashes").alias("y"))
-    return pairs.join(x, "a").join(y, "b").filter(_alike(similarity)("x", "y")).select("a", "b")
-
-
-def _settled(similarity: float):
-    """Links of two blocks of a crowd (or of one with itself) on whole shingle sets. Members
-    already in one component aren't compared; all others are, each with each."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        sets = [np.frombuffer(h, np.uint64) for h in pdf["hashes"]]
-        sizes = np.array([len(x) for x in sets])
-        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        tokens, at = np.unique(np.concatenate(sets), return_inverse=True)
-        root = np.unique(pdf["root"], return_inverse=True)[1]
-        node, part, one = pdf["node"].to_numpy(), pdf["part"].to_numpy(), bool(pdf["i"].iloc[0] == pdf["j"].iloc[0])
-        mine, out = np.zeros(len(tokens), np.int32), []
-        for m in np.flatnonzero(part == pdf["i"].iloc[0]):
-            others = (root != root[m]) & (part == pdf["j"].iloc[0])
-            if one:
-                others[: m + 1] = False
-            if not others.any():
-                continue
-            held = at[starts[m] : starts[m] + sizes[m]]
-            mine[held] = 1
-            both = np.add.reduceat(mine[at], starts)
-            mine[held] = 0
-            hits = np.flatnonzero(others & (both >= similarity * (sizes[m] + sizes - both) - ROUNDING))
-            for o in hits[np.unique(root[hits], return_index=True)[1]]:
-                out.append((min(node[m], node[o]), max(node[m], node[o])))
-                root[root == root[o]] = root[m]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return run
-
-
-def crowd_links(met: DataFrame, found: DataFrame, texts: DataFrame, similarity: float, crowd: int) -> DataFrame:
-    """(a, b) of the crowds that the links to their leaders, with components ``found``, left
-    in more than one component: enough to join all members of the similarity."""
-    own = found.select(F.col("node").alias("_node"), "root")
-    dense = met.filter(F.col("size") > crowd).join(own, F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node"))
-    whole = W.partitionBy("key")
-    dense = dense.withColumn("low", F.min("n").over(whole)).withColumn("split", F.min("root").over(whole) != F.max("root").over(whole))
-    # Whoever is matched on its first common shingle has this much left after it.
-    may = (F.col("n") - F.col("pos")) >= similarity / (1 + similarity) * (F.greatest("low", F.col("n") * similarity) + F.col("n")) - ROUNDING
-    open_, _ = materialise(dense.filter("split").filter(may).select("key", "node", "root", F.count("*").over(whole).alias("of")).filter("of > 1"), "crowds")
-    if open_.isEmpty():
-        return open_.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    sets = whole_sets(texts, open_.select("node"))
-    blocks = F.ceil(F.col("of") / BLOCK).cast("int")
-    part = F.pmod(F.xxhash64("node", F.lit(5)), F.ceil(F.col("of") / BLOCK)).cast("int")
-    dealt = open_.withColumn("part", part).withColumn("c", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", F.least("part", "c").alias("i"), F.greatest("part", "c").alias("j"), "part", "node", "root")
-    return dealt.join(sets, F.col("node") == F.col("_node")).groupBy("key", "i", "j").applyInPandas(_settled(similarity), "a long, b long").distinct()
-
-
-def _resemblance(x, y):
-    """Share of the smallest hashes of both sets that are in each: an estimate of their resemblance."""
-    # Hashes are kept as 32 unsigned bits in ints: in unsigned order the negative ones come last.
-    both = F.slice(F.array_sort(F.transform(F.array_union(x, y), lambda h: h.cast("long").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))), 1, SKETCH)
-    x, y = (F.transform(s, lambda h: h.cast("long").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))) for s in (x, y))
-    return F.size(F.array_intersect(F.array_intersect(x, y), both)) / F.greatest(F.size(both), F.lit(1))
-
-
-def keep_one(docs: DataFrame, similarity: float = SIMILARITY, crowd: int = CROWD) -> DataFrame:
-    """One row of each group of exact and near copies, with all columns: the smallest doc_id.
-
-    Candidates are texts that share one of their first shingles (see ``prefix``): whatever
-    the edit, no pair of the similarity is without one. In crowds (more than ``crowd``
-    sharers) members meet a leader first, then all those not yet in their component. A candidate is verified on all
-    its five-word shingles. Equal texts (by a 64-bit hash) are one node, and null counts as empty; of repeated rows one stays. Texts without a word have no
-    shingles and are copies only of equal ones.
-    """
-    text = F.coalesce("text", F.lit(""))
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("node"), text.alias("text"))
-    common = common_shingles(texts, docs.count())
-    rows, _ = materialise(texts.select("id", "node", _traits(docs.sparkSession, common, similarity)("text").alias("t")).select("id", "node", "t.*"), "traits")
-    # Copies agree in all but their id: the first prefix and sketch will do for each node.
-    nodes, _ = materialise(rows.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "nodes")
-    keys = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "key"))
-    met, _ = materialise(keys.withColumn("size", F.count("*").over(W.partitionBy("key"))).filter("size > 1"), "met")
-    pairs, _ = materialise(candidates(met, similarity, crowd), "pairs")
-    # Sketches are large: only those of candidates are moved on.
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sketches, _ = materialise(rows.select("node", "sketch").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("sketch").alias("sketch")), "sketches")
-    x = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
-    y = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
-    least = similarity - CLEAR * (similarity * (1 - similarity) / SKETCH) ** 0.5
-    close = pairs.join(x, "a").join(y, "b").filter(_resemblance(F.col("x"), F.col("y")) >= least).select("a", "b")
-    close, _ = materialise(close, "close")
-    same, _ = materialise(verified(close, texts, similarity), "same")
-    found = components(same)
-    more = crowd_links(met, found, texts, similarity, crowd)
-    found = components(same.unionByName(more))
-    grouped = nodes.select("node", "id").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    # Of each group the smallest id (null last), then the smallest node.
-    kept = grouped.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "node")).alias("k")).select(F.col("k.node").alias("_node"), F.col("k.id").alias("_id"))
-    mine = docs.withColumn("_h", F.xxhash64(text))
-    # The keys of the join and of the window are the same: texts are shuffled once.
-    chosen = mine.join(kept, F.col("_h") == F.col("_node")).filter(F.col("doc_id").eqNullSafe(F.col("_id")))
-    one = chosen.withColumn("_rank", F.row_number().over(W.partitionBy("_h").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])))).filter("_rank = 1")
-    return one.select(*[one[f"`{c}`"] for c in docs.columns])

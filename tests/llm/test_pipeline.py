@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
-from halyard.llm import quality, simhash
+from halyard.llm import copies, mixing, quality
 from halyard.llm.fingerprint import shingle_hashes
 
 
@@ -14,41 +14,12 @@ def similar(a, b):
     return both / max(1, len(x) + len(y) - both)
 
 
-def test_near_duplicate_stage_against_brute_force(spark, documents):
-    rows = documents.collect()
-    sets = [shingle_hashes(r.text) for r in rows]
-    near, parent = defaultdict(set), list(range(len(rows)))
-
-    def find(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    for i in range(len(rows)):
-        for j in range(i):
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            s = both / max(1, len(sets[i]) + len(sets[j]) - both)
-            if s >= 0.8:
-                parent[find(i)] = find(j)
-            if s >= 0.7:
-                near[i].add(j)
-                near[j].add(i)
-    kept = {r.doc_id for r in simhash.keep_one(documents).collect()}
-    groups = defaultdict(list)
-    for i in range(len(rows)):
-        groups[find(i)].append(i)
-    left = sum(max(0, sum(rows[i].doc_id in kept for i in g) - 1) for g in groups.values())
-    assert left <= 0.03 * max(1, sum(len(g) - 1 for g in groups.values()))
-    # A document that went has a near copy (estimates may take one of 0.7 and over for one).
-    assert all(near[i] for i, r in enumerate(rows) if r.doc_id not in kept)
-
-
 def test_copies_leave_one(spark, odd_docs):
-    out = simhash.keep_one(odd_docs)
+    out = copies.keep_one(odd_docs)
     assert out.columns == odd_docs.columns
     # 1 and null share a text, as do 2 (null) and 3 (empty), and 8 and 9.
     assert sorted(r.doc_id for r in out.collect()) == [1, 2, 4, 5, 6, 7, 8]
-    assert simhash.keep_one(odd_docs.limit(0)).count() == 0
+    assert copies.keep_one(odd_docs.limit(0)).count() == 0
 
 
 def test_a_large_group_of_near_copies(spark):
@@ -62,7 +33,7 @@ def test_a_large_group_of_near_copies(spark):
         rows.append((i, " ".join(t)))
     rows += [(1000 + i, " ".join(f"w{x}" for x in rng.integers(0, 5000, 300))) for i in range(50)]
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    kept = {r.doc_id for r in simhash.keep_one(docs, crowd=16).collect()}
+    kept = {r.doc_id for r in copies.keep_one(docs).collect()}
     assert kept >= {0, *range(1000, 1050)} and len(kept) <= 53
 
 
@@ -100,7 +71,7 @@ def test_copies_are_found_whatever_the_edit(spark):
     before = [[f"v{x}" for x in rng.integers(0, 20000, int(0.2 * len(w)))] + w for w in originals[80:]]
     texts = [" ".join(w) for w in originals + cut + longer + before]
     assert all(0.8 <= similar(texts[i], texts[120 + i]) < 0.86 for i in range(120))
-    kept = {r.doc_id for r in simhash.keep_one(corpus(spark, texts)).collect()}
+    kept = {r.doc_id for r in copies.keep_one(corpus(spark, texts)).collect()}
     assert len(kept & set(range(120, 240))) <= 3 and kept >= set(range(120))
 
 
@@ -116,8 +87,8 @@ def test_groups_of_copies_in_a_crowd(spark):
         return out
 
     own = [changed(template, 0.025) for _ in range(240)]
-    copies = [changed(own[i // 3], 0.006) for i in range(180)]
-    texts = [" ".join(w) for w in own + copies]
+    near = [changed(own[i // 3], 0.006) for i in range(180)]
+    texts = [" ".join(w) for w in own + near]
     sets = [shingle_hashes(t) for t in texts]
     parent = list(range(len(texts)))
 
@@ -134,7 +105,7 @@ def test_groups_of_copies_in_a_crowd(spark):
                 parent[b] = a
     want = {find(i) for i in range(len(texts))}
     assert 150 < len(want) < 260
-    kept = {r.doc_id for r in simhash.keep_one(corpus(spark, texts), crowd=8).collect()}
+    kept = {r.doc_id for r in copies.keep_one(corpus(spark, texts)).collect()}
     assert kept <= want  # no copy is left
 
 
@@ -147,7 +118,7 @@ def test_pairs_are_verified_on_whole_texts(spark):
         texts += [" ".join(words), " ".join(words[: int(1200 + rng.integers(-45, 46))])]
     want = {i for i in range(240) if i % 2 == 0 or similar(texts[i - 1], texts[i]) < 0.8}
     assert 150 < len(want) < 210
-    assert {r.doc_id for r in simhash.keep_one(corpus(spark, texts)).collect()} == want
+    assert {r.doc_id for r in copies.keep_one(corpus(spark, texts)).collect()} == want
 
 
 def test_documents_against_exact_components(spark, documents):
@@ -168,4 +139,41 @@ def test_documents_against_exact_components(spark, documents):
     least = defaultdict(list)
     for i, r in enumerate(rows):
         least[find(i)].append(r.doc_id)
-    assert sorted(r.doc_id for r in simhash.keep_one(documents).collect()) == sorted(map(min, least.values()))
+    assert sorted(r.doc_id for r in copies.keep_one(documents).collect()) == sorted(map(min, least.values()))
+
+
+def test_pairs_over_one_vocabulary(spark):
+    """Many pairs of copies, all pairs of the same words in another order: each loses one."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(300)]
+    texts = []
+    for _ in range(100):
+        a = list(rng.permutation(words))
+        b = a[:-1] + ["end"]
+        texts += [" ".join(a), " ".join(b)]
+    assert all(similar(texts[i], texts[i + 1]) > 0.96 for i in range(0, 200, 2))
+    assert sorted(r.doc_id for r in copies.keep_one(corpus(spark, texts)).collect()) == list(range(0, 200, 2))
+
+
+def test_judge_leaves_doubt_to_the_whole_sets():
+    rng = np.random.default_rng(1)
+    cut = lambda h: (h[: copies.SKETCH] >> np.uint64(32)).astype(np.uint32).tobytes()
+    says = []
+    for share in (0.3, 0.8, 0.99):
+        both = rng.integers(0, 1 << 63, 4000).astype(np.uint64) << np.uint64(1)
+        n = int(len(both) * 2 / (1 + share))  # of each set; ``both`` is their union
+        x, y = np.unique(both[:n]), np.unique(both[len(both) - n :])
+        says.append(copies.judge(cut(x), cut(y), len(x), len(y)))
+    assert says == [0, 2, 1]
+    one = np.arange(10, dtype=np.uint64) << np.uint64(40)
+    assert copies.judge(cut(one), cut(one), 10, 10) == 1 and copies.judge(cut(one), cut(one[:5]), 10, 5) == 0
+
+
+def test_names_of_helpers(spark):
+    """Columns named as helpers, and a dotted one, come through the stages unchanged."""
+    rows = [(i, f"text number {i} of a few words here", "a", 5, 6, 7, 8, "r", 9, 1, 2) for i in range(6)] + [(9, "text number 0 of a few words here", "a", 5, 6, 7, 8, "r", 9, 1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _size int, _rank int, _h int, _node int, row string, `a.b` int, node int, id int")
+    kept = copies.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == rows[:6]
+    mixed = mixing.emit(mixing.mix(docs))
+    assert mixed.columns == docs.columns and {tuple(r)[3:] for r in mixed.collect()} == {rows[0][3:]}

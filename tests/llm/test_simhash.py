@@ -54,15 +54,14 @@ def test_links_keep_all_components(spark):
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
     nodes = spark.createDataFrame([(f, f) for f in signed], "node long, fp long")
     want = brute_components(sorted(fps))
-    for crowd in (2, 6, 48):
-        found = S.links(nodes, 4, crowd)
-        pairs = [(r.a, r.b) for r in found.collect()]
-        assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 4 and a < b for a, b in pairs)
-        roots = {r.node: r.root for r in S.components(found).collect()}
-        groups = {}
-        for f, s in zip(fps, signed, strict=True):
-            groups.setdefault(roots.get(s, s), set()).add(f)
-        assert sorted(sorted(g) for g in groups.values()) == want
+    found = S.links(nodes, 4)
+    pairs = [(r.a, r.b) for r in found.collect()]
+    assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 4 and a < b for a, b in pairs)
+    roots = {r.node: r.root for r in S.components(found).collect()}
+    groups = {}
+    for f, s in zip(fps, signed, strict=True):
+        groups.setdefault(roots.get(s, s), set()).add(f)
+    assert sorted(sorted(g) for g in groups.values()) == want
 
 
 def test_near_duplicates_rows(spark):

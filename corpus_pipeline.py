@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from halyard.llm import language, mixing, packing, quality, simhash
+from halyard.llm import copies, language, mixing, packing, quality
 from halyard.llm.common import materialise, table
 
 
@@ -26,7 +26,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: one document of each group of exact and near copies stays."""
-    return simhash.keep_one(docs)
+    return copies.keep_one(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

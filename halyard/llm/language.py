@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import give_back, remainder
+from .common import give_back, materialise, release, remainder
 
 PROFILE = 400
 MAX_LANGUAGES = 2000
@@ -40,19 +40,22 @@ def letters() -> np.ndarray:
 
 
 def letter_codes(text: str) -> np.ndarray:
-    """Lower-case letters of a text as code points, each run of anything else one blank, blanks at both ends."""
-    raw = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = np.concatenate(([BLANK], letters()[raw], [BLANK])).astype(np.uint32)
+    """Letters of a lower-case text as code points, anything else a blank."""
+    return letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+
+
+def _squeezed(codes: np.ndarray) -> np.ndarray:
+    """Each run of blanks as one."""
     blank = codes == BLANK
     keep = np.ones(len(codes), bool)
     keep[1:] = ~(blank[1:] & blank[:-1])
     return codes[keep]
 
 
-def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(n-grams in order of code points, counts). An n-gram is packed into 63 bits, last letter lowest."""
-    codes = letter_codes(text)
-    if len(codes) < 3:
+def _grams(codes: np.ndarray, old: int) -> tuple[np.ndarray, np.ndarray]:
+    """(n-grams in order of code points, counts) of those that end after the first ``old``
+    codes. An n-gram is packed into 63 bits, last letter lowest."""
+    if len(codes) <= old:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     alphabet = np.flatnonzero(np.bincount(codes)).astype(np.int64)
     place = np.zeros(int(alphabet[-1]) + 1, np.uint32)
@@ -61,9 +64,12 @@ def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     # Letters renumbered in order of code points: short keys sort alike and faster. 0 is the blank.
     wide = np.uint64 if size >= 1023 else np.uint32
     bits = _BITS if size >= 1023 else 10
+    blank = wide(1) + wide(int(np.searchsorted(alphabet, BLANK))) if BLANK in alphabet else wide(0)
     a = a.astype(wide) + wide(1)
-    one, two = a[a > 1], (a[:-1] << wide(bits)) | a[1:]
-    three = ((a[:-2] << wide(2 * bits)) | (a[1:-1] << wide(bits)) | a[2:])[a[1:-1] > 1]
+    new = a[old:]
+    one, two = new[new != blank], ((a[:-1] << wide(bits)) | a[1:])[max(0, old - 1) :]
+    three = (a[:-2] << wide(2 * bits)) | (a[1:-1] << wide(bits)) | a[2:]
+    three = three[max(0, old - 2) :][(a[1:-1] != blank)[max(0, old - 2) :]]
     keys, counts = np.unique(np.concatenate((one, two, three)), return_counts=True)
     mask = wide((1 << bits) - 1)
     back = np.concatenate(([0], alphabet))
@@ -73,27 +79,30 @@ def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     return out, counts
 
 
-def merged_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """As gram_counts, of a text of any length, in bounded memory. A part ends at white space where it can."""
-    if len(text) <= PART:
-        return gram_counts(text)
-    keys, counts, at = [], [], 0
-    while at < len(text):
-        end = min(len(text), at + PART)
-        if end < len(text):
-            cut = max(text.rfind(" ", at, end), text.rfind("\n", at, end))
-            end = cut + 1 if cut > at else end
-        k, c = gram_counts(text[at:end])
-        keys.append(k)
-        counts.append(c)
-        at = end
-    both, where = np.unique(np.concatenate(keys), return_inverse=True)
-    return both, np.bincount(where, np.concatenate(counts), len(both)).astype(np.int64)
+def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(n-grams in order of code points, counts) of a text of any length: one to three
+    letters, a blank at both ends and for each run of anything but letters. Long texts are
+    gone through part by part, with the last two codes carried over."""
+    text = text.lower()
+    if not text:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    found, last = [], np.array([BLANK], np.uint32)
+    for at in range(0, len(text), PART):
+        codes = letter_codes(text[at : at + PART])
+        ends = [BLANK] if at + PART >= len(text) else []
+        line = _squeezed(np.concatenate((last, codes, ends)).astype(np.uint32))
+        if len(line) > 1:
+            found.append(_grams(line, len(last)))
+        last = line[-2:]
+    if len(found) < 2:
+        return found[0] if found else (np.empty(0, np.int64), np.empty(0, np.int64))
+    both, where = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    return both, np.bincount(where, np.concatenate([c for _, c in found]), len(both)).astype(np.int64)
 
 
 @dataclass
 class Profiles:
-    """At most MAX_LANGUAGES * size n-grams: its size doesn't depend on the input."""
+    """Of at most some MAX_LANGUAGES languages, ``size`` n-grams each: its size doesn't depend on the input."""
 
     languages: list[str]
     grams: np.ndarray  # all n-grams of any profile, sorted
@@ -102,7 +111,7 @@ class Profiles:
 
     def ranked(self, text: str | None) -> np.ndarray:
         """The text's most frequent n-grams in order, at most ``size``."""
-        keys, counts = merged_counts(text) if text else (np.empty(0, np.int64),) * 2
+        keys, counts = gram_counts(text) if text else (np.empty(0, np.int64),) * 2
         return keys[np.argsort(-counts, kind="stable")[: self.size]]
 
     def similarities(self, top: np.ndarray) -> np.ndarray | None:
@@ -121,15 +130,6 @@ class Profiles:
         s = self.similarities(self.ranked(text))
         return ("und", 0.0) if s is None else (self.languages[int(np.argmax(s))], float(s.max()))
 
-    def behind(self, text: str | None, lang: str | None) -> float:
-        """How far the similarity to ``lang`` is below the best; 0 for a null or unknown
-        ``lang``, 1 for a text without a letter or with no profile at its ``floor``."""
-        top = self.ranked(text)
-        s = self.similarities(top)
-        if s is None or s.max() < floor(len(top)):
-            return 1.0
-        return float(s.max() - s[self.languages.index(lang)]) if lang in self.languages else 0.0
-
 
 #: The least similarity of a text to its nearest language: SHORT_FLOOR up to FEW distinct
 #: n-grams (two words or so), FLOOR from MANY on, in between by their number. On sf0.1 no
@@ -150,7 +150,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             part, n, held = [], 0, []
 
             def add():
-                k, c = merged_counts(" ".join(part))
+                k, c = gram_counts(" ".join(part))
                 held.append((k, c))
 
             for t in texts:
@@ -167,22 +167,28 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     give_back()
 
 
-def learn(labelled: DataFrame, size: int = PROFILE) -> Profiles:
+def learn(labelled: DataFrame, size: int = PROFILE) -> list[Profiles]:
     """Profiles from all rows of (text, lang); rows with a null of either are left out.
 
-    Only the ``size`` most frequent n-grams of each language reach the driver.
-    """
-    rows = labelled.select("text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
+    Only the ``size`` most frequent n-grams of each language leave the cluster. Languages
+    are dealt by hash to parts of some MAX_LANGUAGES / 2: one part, unless they are very many."""
+    rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     total = rows.mapInPandas(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), F.asc("gram")))
-    top = total.withColumn("rank", rank - 1).filter(F.col("rank") < size).select("lang", "gram", "rank").toPandas()
-    languages = sorted(top["lang"].unique())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; at most {MAX_LANGUAGES} profiles are broadcast")
-    grams = np.unique(top["gram"].to_numpy(np.int64))
-    ranks = np.full((len(grams), len(languages)), size, np.int32)
-    ranks[np.searchsorted(grams, top["gram"]), [languages.index(x) for x in top["lang"]]] = top["rank"]
-    return Profiles(languages, grams, ranks, size)
+    top, at = materialise(total.withColumn("rank", rank - 1).filter(F.col("rank") < size).select("lang", "gram", "rank"), "profiles")
+    many = top.filter("rank = 0").count()
+    parts = 1 if many <= MAX_LANGUAGES else -(-2 * many // MAX_LANGUAGES)
+    out = []
+    for part in range(parts):
+        own = top.filter(F.pmod(F.xxhash64("lang"), F.lit(parts)) == part).toPandas()
+        languages = sorted(own["lang"].unique())
+        grams = np.unique(own["gram"].to_numpy(np.int64))
+        ranks = np.full((len(grams), len(languages)), size, np.int32)
+        place = {x: i for i, x in enumerate(languages)}
+        ranks[np.searchsorted(grams, own["gram"]), [place[x] for x in own["lang"]]] = own["rank"]
+        out.append(Profiles(languages, grams, ranks, size))
+    release(labelled.sparkSession, at)
+    return out
 
 
 def predictor(profiles: Profiles, spark):
@@ -206,11 +212,14 @@ def identify(docs: DataFrame, size: int = PROFILE) -> DataFrame:
     and that have a lang and a text. Prediction sees the text alone. Null text or no
     letter, or nothing to learn from: 'und', score 0. Repeated rows agree; ties go to
     the n-gram and the language first in code point order. An empty table stays empty.
+    Any number of languages: each part of their profiles names its nearest.
     """
     held = remainder("doc_id", 4) == 2
-    profiles = learn(docs.filter(~held), size)
-    out = docs.select("doc_id", held.alias("held_out"), predictor(profiles, docs.sparkSession)(F.col("text")).alias("_p"))
-    return out.select("doc_id", "held_out", "_p.lang_pred", "_p.score")
+    found = [predictor(p, docs.sparkSession)(F.col("text")) for p in learn(docs.filter(~held), size)]
+    out = docs.select("doc_id", held.alias("held_out"), F.array(*found).alias("_p"))
+    # The highest score, then the first name.
+    best = F.expr("aggregate(_p, _p[0], (x, y) -> IF(y.score > x.score OR (y.score = x.score AND y.lang_pred < x.lang_pred), y, x))")
+    return out.select("doc_id", "held_out", best.alias("_p")).select("doc_id", "held_out", "_p.lang_pred", "_p.score")
 
 
 #: A declared language this far behind the nearest is taken to be wrong. Documents that
@@ -223,16 +232,33 @@ def keep_identified(docs: DataFrame, size: int = PROFILE, most: float = MOST_BEH
 
     Rejects null texts, texts without a letter, texts whose similarity to the nearest
     language is under ``floor``, whatever ``lang`` is, and texts whose declared language is
-    behind the nearest by ``most``. All columns of ``docs`` stay.
+    behind the nearest by ``most``. Repeated rows are judged alike; an empty table stays
+    empty. All columns of ``docs`` stay, whatever their names.
     """
-    profiles = learn(docs, size)
-    shared = docs.sparkSession.sparkContext.broadcast(profiles)
+    said = [_standing(p, docs.sparkSession)(F.col("text").cast("string"), F.col("lang").cast("string")) for p in learn(docs, size)]
+    every = F.array(*said)
+    best = F.array_max(F.transform(every, lambda x: x["best"]))
+    own = F.array_max(F.transform(every, lambda x: x["own"]))  # null unless declared and learnt
+    least = F.array_max(F.transform(every, lambda x: x["least"]))
+    return docs.filter(F.coalesce((best >= least) & (F.coalesce(best - own, F.lit(0.0)) < most), F.lit(False)))
 
-    @F.pandas_udf("double")
-    def behind(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        own = shared.value
+
+def _standing(profiles: Profiles, spark):
+    """A column function of text and lang: similarity to the nearest language, the least
+    that will do, and the similarity to ``lang`` (null if it isn't learnt); nulls without a letter."""
+    shared = spark.sparkContext.broadcast(profiles)
+
+    @F.pandas_udf("best double, least double, own double")
+    def standing(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        p = shared.value
+        place = {x: i for i, x in enumerate(p.languages)}
         for texts, langs in parts:
-            yield pd.Series([own.behind(t, x) for t, x in zip(texts, langs, strict=True)], dtype="float64")
+            out = []
+            for t, lang in zip(texts, langs, strict=True):
+                top = p.ranked(t)
+                s = p.similarities(top)
+                out.append((None, None, None) if s is None else (float(s.max()), floor(len(top)), float(s[place[lang]]) if lang in place else None))
+            yield pd.DataFrame(out, columns=["best", "least", "own"], dtype="float64")
         give_back()
 
-    return docs.filter(behind(F.col("text"), F.col("lang").cast("string")) < most)
+    return standing

@@ -31,11 +31,23 @@ def test_counts_against_loops():
 
 
 def test_long_texts_are_counted_in_parts(monkeypatch):
-    text = "der Hund und die Katze, " * 300
-    want = L.gram_counts(text)
-    monkeypatch.setattr(L, "PART", 1000)
-    got = L.merged_counts(text)
-    assert all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
+    texts = ["der Hund und die Katze, " * 30, "x" * 500, "ab1 " * 50 + "!" * 40 + " yz", "  " * 30 + "ends here" + " " * 30, "ΟΔΥΣΣΕΥΣ ΟΔΟΣ " * 9, "!" * 100]
+    want = [L.gram_counts(t) for t in texts]
+    for part in (1, 2, 7, 10):
+        monkeypatch.setattr(L, "PART", part)
+        for t, w in zip(texts, want, strict=True):
+            got = L.gram_counts(t)
+            assert all(np.array_equal(a, b) for a, b in zip(got, w, strict=True))
+            assert dict(zip(map(name, got[0].tolist()), got[1].tolist(), strict=True)) == brute_grams(t)
+
+
+def test_more_languages_than_a_task_holds(documents, monkeypatch):
+    want = sorted(map(tuple, L.identify(documents, 100).collect()))
+    kept = sorted(r.doc_id for r in L.keep_identified(documents, 100).collect())
+    monkeypatch.setattr(L, "MAX_LANGUAGES", 2)
+    assert len(L.learn(documents, 100)) > 1
+    assert sorted(map(tuple, L.identify(documents, 100).collect())) == want
+    assert sorted(r.doc_id for r in L.keep_identified(documents, 100).collect()) == kept
 
 
 def brute_profiles(rows, size):

@@ -27,6 +27,7 @@ SAMPLE = 8192
 SHAPES, CLASSES = 512, 16
 DIM = SHAPES + CLASSES * CLASSES + 2
 MAX_WORDS = 150_000
+WINDOW = 500
 
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#$%&*@^~=+<>{}[]\\|_`")] = True
@@ -101,10 +102,16 @@ def _sentences(t: Text) -> int:
     return _vote(ends * 150 < len(t.words), 3 <= len(t.words) / max(1, ends) <= 60)
 
 
+def variety(words: list[bytes]) -> float:
+    """Share of distinct words in windows of WINDOW words, over the whole text: so that a
+    long text isn't taken for a repetitive one."""
+    return sum(len(set(words[i : i + WINDOW])) for i in range(0, len(words), WINDOW)) / len(words)
+
+
 def _variety(t: Text) -> int:
-    if len(t.words) < 50 or len(t.words) > 5000:
+    if len(t.words) < 50:
         return 0
-    share = len(set(t.words)) / len(t.words)
+    share = variety(t.words)
     return _vote(share < 0.15, share > 0.3)
 
 
@@ -240,7 +247,7 @@ def forget() -> None:
 
 def features(text: str | None) -> np.ndarray | None:
     """Hashed shares of word shapes and of pairs of byte classes, and the shares of words
-    that repeat the one before or any one before; None for a text without a word. A few
+    that repeat the one before or any one before in their window; None for a text without a word. A few
     words say little: a short text's features are scaled down."""
     if not text or not (words := (raw := text.encode("utf-8", "replace")).split()):
         return None
@@ -248,7 +255,7 @@ def features(text: str | None) -> np.ndarray | None:
     shapes = np.bincount(np.fromiter(map(_shapes.__getitem__, words), np.int64, n), minlength=SHAPES)
     c = np.frombuffer(raw.translate(_CLASS_BYTES), np.uint8)
     pairs = np.bincount((c[:-1] << 4) | c[1:], minlength=CLASSES * CLASSES)
-    again = (sum(map(eq, words, words[1:])) / n, (1 - len(set(words)) / n) / (1 + n / 500))
+    again = (sum(map(eq, words, words[1:])) / n, 1 - variety(words))
     return (np.sqrt(np.concatenate((shapes / n, pairs / max(1, len(c) - 1), again))) * (n / (n + 10))).astype(np.float32)
 
 
@@ -316,6 +323,9 @@ def classify(docs: DataFrame, sample: int = SAMPLE, least: float = 0.5) -> DataF
 
 
 def keep_good(docs: DataFrame, sample: int = SAMPLE, least: float = 0.5) -> DataFrame:
-    """The rows that the classifier keeps, all columns."""
+    """The rows that the classifier keeps, with all columns, whatever their names.
+
+    Null or empty texts and texts without a word go. Repeated rows are judged alike; an
+    empty table stays empty."""
     weights, _ = train(docs, sample)
     return docs.filter(scorer(weights)(F.col("text")) >= least)

@@ -64,6 +64,18 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+#: Rows that a Python worker gets at once: texts are long, and Spark's 10,000 are many megabytes.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the memory of Python workers that read texts: batches of BATCH_ROWS rows for
+    this session, unless it has set fewer."""
+    if not 0 < int(spark.conf.get(_BATCH, "10000")) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from . import fingerprint
-from .common import boxed, bucketed, materialise, quoted, release
+from .common import boxed, bucketed, materialise, quoted, release, small_batches
 from .fingerprint import shingle_hashes
 from .simhash import ball_keys, bits_of, components, leaders, open_pairs
 
@@ -189,6 +189,7 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     repeated rows one stays. An empty table stays empty; columns of any names are kept as they are.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = boxed(docs, id=F.col("doc_id").cast("long"), node=F.xxhash64(text), text=text)
     texts = rows.select("id", "node", "text")

@@ -17,13 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import give_back, materialise, release, remainder
+from .common import give_back, materialise, release, remainder, small_batches
 
 PROFILE = 400
 MAX_LANGUAGES = 2000
 BLANK = 0x20
 #: Characters handled at once; n-grams of longer texts are counted part by part.
 PART = 250_000
+#: Characters counted before a task hands its counts on.
+HELD = 64_000_000
 _BITS = 21
 
 _letters: np.ndarray | None = None
@@ -144,26 +146,40 @@ def floor(grams: int) -> float:
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts of each language's n-grams, added up batch by batch before the shuffle."""
-    for pdf in batches:
-        for lang, texts in pdf.groupby("lang")["text"]:
-            part, n, held = [], 0, []
-
-            def add():
-                k, c = gram_counts(" ".join(part))
-                held.append((k, c))
-
-            for t in texts:
-                part.append(t)
-                n += len(t)
-                if n >= PART:
-                    add()
-                    part, n = [], 0
-            if part:
-                add()
-            keys, where = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            counts = np.bincount(where, np.concatenate([c for _, c in held]), len(keys)).astype(np.int64)
+    """Counts of each language's n-grams, added up over a task's batches before the shuffle."""
+    held: dict[str, list] = {}  # language: what is counted, the texts to come, their length
+    waiting = 0
+
+    def add(own: list) -> None:
+        if own[1]:
+            own[0].append(gram_counts(" ".join(own[1])))
+            own[1], own[2] = [], 0
+
+    def total(own: list) -> tuple[np.ndarray, np.ndarray]:
+        keys, where = np.unique(np.concatenate([k for k, _ in own[0]]), return_inverse=True)
+        return keys, np.bincount(where, np.concatenate([c for _, c in own[0]]), len(keys)).astype(np.int64)
+
+    def out() -> Iterator[pd.DataFrame]:
+        for lang, own in held.items():
+            add(own)
+            keys, counts = total(own)
             yield pd.DataFrame({"lang": lang, "gram": keys, "n": counts})
+        held.clear()
+
+    for pdf in batches:
+        for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
+            own = held.setdefault(lang, [[], [], 0])
+            own[1].append(text)
+            own[2] += len(text)
+            waiting += len(text)
+            if own[2] >= PART:
+                add(own)
+                if len(own[0]) > 16:
+                    own[0] = [total(own)]
+        if waiting > HELD:  # a bound on texts held, whatever the number of languages
+            yield from out()
+            waiting = 0
+    yield from out()
     give_back()
 
 
@@ -172,6 +188,7 @@ def learn(labelled: DataFrame, size: int = PROFILE) -> list[Profiles]:
 
     Only the ``size`` most frequent n-grams of each language leave the cluster. Languages
     are dealt by hash to parts of some MAX_LANGUAGES / 2: one part, unless they are very many."""
+    small_batches(labelled.sparkSession)
     rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     total = rows.mapInPandas(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), F.asc("gram")))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LONG_WORD, give_back
+from .common import LONG_WORD, give_back, small_batches
 
 #: Documents the linear scorer is fitted on, drawn by hash; votes are counted over all.
 SAMPLE = 8192
@@ -277,6 +277,7 @@ def fit_scorer(x: np.ndarray, q: np.ndarray, steps: int = 300, rate: float = 0.0
 def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, LabelModel]:
     """Scorer and label model. Votes of all documents are counted; of a sample of about
     ``sample`` rows, at most twice that, the features reach the driver."""
+    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text").withColumn("_v", votes_udf("text"))
     seen = rows.groupBy("_v").count().filter("_v >= 0").toPandas().sort_values("_v")
     model = fit_labels(seen["_v"].to_numpy(np.int64), seen["count"].to_numpy(np.int64))

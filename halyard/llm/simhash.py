@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from .common import ascii_words, materialise, release
+from .common import ascii_words, materialise, release, small_batches
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
 
@@ -170,6 +170,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     component_id: the smallest non-null doc_id reachable (null if all are null).
     Repeated rows are returned each. Other columns are left out.
     """
+    small_batches(docs.sparkSession)
     rows, _ = materialise(docs.select("doc_id", fingerprint_udf("text").alias("fp")), "fingerprints")
     nodes = rows.select(F.col("fp").alias("node"), "fp").distinct()
     found = components(links(nodes, radius))

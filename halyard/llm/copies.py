@@ -35,10 +35,11 @@ from .simhash import ball_keys, bits_of, components, leaders, open_pairs
 #: Resemblance of five-word shingle sets. On the SKETCH smallest hashes an estimate that is
 #: CLEAR standard errors off decides a pair; all others are compared on their whole sets.
 SIMILARITY, SKETCH, WORDS, CLEAR, RADIUS = 0.8, 256, 5, 5, 4
-#: The commonest shingles come last in the order of all shingles. They are counted on a sample
-#: of about ORDERED texts, and those seen SEEN times there are broadcast, at most COMMON of
-#: them. They decide speed, not results.
-ORDERED, SEEN, COMMON = 16_384, 4, 200_000
+#: The commonest shingles come last in the order of all shingles. They are counted on one text
+#: in ORDERED, and those seen SEEN times there are broadcast, at most COMMON of them: a share of
+#: the texts and not a number, so that the same frequency counts as common at every size. They
+#: decide speed, not results.
+ORDERED, SEEN, COMMON = 8, 4, 200_000
 #: Room for rounding in sums and products of whole numbers with the similarity.
 ROUNDING = 1e-6
 
@@ -50,10 +51,9 @@ def _shingles(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     fingerprint.forget()
 
 
-def common_shingles(texts: DataFrame, rows: int, sample: int = ORDERED) -> np.ndarray:
+def common_shingles(texts: DataFrame, every: int = ORDERED) -> np.ndarray:
     """The commonest shingles of a sample of (text, node), rarest first."""
-    share = int(min(1.0, sample / max(1, rows)) * (1 << 30))
-    some = texts.filter(F.pmod(F.xxhash64(F.lit(8), "node"), F.lit(1 << 30)) < share).dropDuplicates(["node"])
+    some = texts.filter(F.pmod(F.xxhash64(F.lit(8), "node"), F.lit(every)) == 0).dropDuplicates(["node"])
     counts = some.select(F.explode(_shingles("text")).alias("h")).groupBy("h").count().filter(F.col("count") >= SEEN)
     top = counts.orderBy(F.desc("count"), "h").limit(COMMON).toPandas()
     return top["h"].to_numpy(np.int64)[::-1].view(np.uint64)
@@ -193,7 +193,7 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = boxed(docs, id=F.col("doc_id").cast("long"), node=F.xxhash64(text), text=text)
     texts = rows.select("id", "node", "text")
-    common = common_shingles(texts, docs.count())
+    common = common_shingles(texts)
     # Copies agree in all but their id: the first traits will do for each node.
     traits = texts.select("id", "node", _traits(spark, common, similarity)("text").alias("t")).select("id", "node", "t.*")
     first = [F.first(c).alias(c) for c in ("n", "fp", "prefix", "sketch")]

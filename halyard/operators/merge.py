@@ -29,12 +29,13 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], deleted: str |
     """Target rows replaced by the batch's where the key is in it; new keys added.
 
     ``deleted``: a boolean column of the batch that takes the key out. One full outer join
-    by key; equal reruns give equal tables. The batch must hold a key once (see check_unique).
+    by key, where null is a key like any other; equal reruns give equal tables. The batch must
+    hold a key once (see check_unique).
     """
     names = target.columns
     incoming = batch.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_new"), *[F.col(f"`{k}`").alias(f"_nk{i}") for i, k in enumerate(keys)], (F.coalesce(F.col(deleted), F.lit(False)) if deleted else F.lit(False)).alias("_gone"))
     existing = target.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_old"), *[F.col(f"`{k}`").alias(f"_ok{i}") for i, k in enumerate(keys)])
-    on = [F.col(f"_nk{i}") == F.col(f"_ok{i}") for i in range(len(keys))]
+    on = [F.col(f"_nk{i}").eqNullSafe(F.col(f"_ok{i}")) for i in range(len(keys))]
     joined = existing.join(incoming, on, "full")
     kept = joined.filter(~F.coalesce(F.col("_gone"), F.lit(False)))
     return kept.select(F.coalesce("_new", "_old").alias("_row")).select("_row.*")

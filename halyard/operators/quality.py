@@ -9,7 +9,7 @@ flags that a join or window adds first, so that the verdict stays one projection
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -79,7 +79,9 @@ def _holds(rule: Rule, as_of: datetime | None) -> Column:
     if ":as_of" in expr:
         if as_of is None:
             raise ValueError(f"rule {rule.name} needs a clock")
-        expr = expr.replace(":as_of", f"timestamp'{as_of:%Y-%m-%d %H:%M:%S.%f}'")
+        # With its offset: the session's time zone has no say. A clock without one is in UTC.
+        clock = as_of.astimezone(UTC) if as_of.tzinfo else as_of
+        expr = expr.replace(":as_of", f"timestamp'{clock:%Y-%m-%d %H:%M:%S.%f}+00:00'")
     return F.coalesce(F.expr(expr), F.lit(False))
 
 

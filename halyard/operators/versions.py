@@ -34,8 +34,9 @@ def apply_versions(dim: DataFrame, batch: DataFrame, key: str, at: str, tracked:
     """An SCD2 merge: ``batch`` (one row a key) against ``dim`` (key, tracked, validity, record_hash, ...).
 
     Unchanged keys keep their version; a changed one ends its current version at the new
-    row's time and gets a new one; new keys start theirs. A batch that was applied
-    before, or is no newer than the current version, changes nothing.
+    row's time and gets a new one; new keys start theirs. A key whose last version has
+    ended (a deletion) starts another with a row from that end on. A batch that was applied
+    before, or is no newer than a key's last version, changes nothing.
     """
     new = batch.select(F.col(key).alias("_key"), F.col(at).alias("_at"), record_hash([key, *tracked]).alias("_hash"))
     current = dim.filter("is_current")
@@ -43,11 +44,12 @@ def apply_versions(dim: DataFrame, batch: DataFrame, key: str, at: str, tracked:
     met = current.join(new, current[key] == new["_key"], "left")
     outdated = F.coalesce((F.col("_hash") != F.col("record_hash")) & (F.col("_at") > F.col("effective_start_date")), F.lit(False))
     closed = met.withColumn("effective_end_date", F.when(outdated, F.col("_at")).otherwise(F.col("effective_end_date"))).withColumn("is_current", ~outdated).select(*dim.columns)
-    known = current.select(F.col(key).alias("_key"), F.col("record_hash").alias("_old"), F.col("effective_start_date").alias("_since"))
+    newest = F.max(F.struct("effective_start_date", "effective_end_date", "is_current", "record_hash")).alias("_last")
+    known = dim.groupBy(F.col(key).alias("_key")).agg(newest).select("_key", F.col("_last.record_hash").alias("_old"), F.col("_last.effective_start_date").alias("_since"), F.when(F.col("_last.is_current"), None).otherwise(F.col("_last.effective_end_date")).alias("_ended"))
     fresh = batch.withColumn("record_hash", record_hash([key, *tracked])).join(known, F.col(key) == F.col("_key"), "left")
-    fresh = fresh.filter(F.col("_key").isNull() | ((F.col("_old") != F.col("record_hash")) & (F.col(at) > F.col("_since"))))
+    fresh = fresh.filter(F.col("_key").isNull() | F.when(F.col("_ended").isNotNull(), F.col(at) >= F.col("_ended")).otherwise((F.col("_old") != F.col("record_hash")) & (F.col(at) > F.col("_since"))))
     fresh = fresh.withColumn("effective_start_date", F.col(at)).withColumn("effective_end_date", F.lit(None).cast(dim.schema["effective_end_date"].dataType)).withColumn("is_current", F.lit(True))
-    return past.unionByName(closed).unionByName(fresh.drop("_key", "_old", "_since"), allowMissingColumns=True).select(*dim.columns)
+    return past.unionByName(closed).unionByName(fresh.drop("_key", "_old", "_since", "_ended"), allowMissingColumns=True).select(*dim.columns)
 
 
 def as_of(facts: DataFrame, dim: DataFrame, key: str, at: str, columns: list[str], dim_key: str | None = None) -> DataFrame:

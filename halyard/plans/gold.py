@@ -50,7 +50,8 @@ def dim_patient(rows: DataFrame, old: DataFrame | None) -> DataFrame:
     else:
         known = old.filter(F.col("patient_sk") != UNKNOWN_KEY)
         versions = apply_versions(known.select(*columns), alive, "patient_id", "updated_at", tracked)
-    ends = F.col("is_current") & F.col("_gone").isNotNull()
+    # A deletion that is older than the version says nothing about it.
+    ends = F.col("is_current") & F.coalesce(F.col("_gone_at") >= F.col("effective_start_date"), F.lit(False))
     versions = versions.join(gone, F.col("patient_id") == F.col("_gone"), "left").withColumn("effective_end_date", F.when(ends, F.col("_gone_at")).otherwise(F.col("effective_end_date"))).withColumn("is_current", F.col("is_current") & ~ends).select(*columns)
     # A version is known by its patient and start.
     version = F.concat_ws("|", "patient_id", F.date_format("effective_start_date", "yyyy-MM-dd HH:mm:ss.SSSSSS"))

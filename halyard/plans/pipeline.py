@@ -61,8 +61,11 @@ def run_medallion(spark: SparkSession, lake: Lake, landing: bronze.Landing, run:
     return out
 
 
-def replay_quarantine(spark: SparkSession, lake: Lake, dataset: str, schema: str, key: str, target: str, run: Run, rules: list[quality.Rule] | None = None) -> int:
-    """Pending rows of a dataset that pass the rules now go into its Silver table, by key, and are marked REPLAYED."""
+def replay_quarantine(spark: SparkSession, lake: Lake, dataset: str, schema: str, key: str, target: str, run: Run, rules: list[quality.Rule] | None = None, at: str | None = None) -> int:
+    """Pending rows of a dataset that pass the rules now go into its Silver table, by key, and are marked REPLAYED.
+
+    A row never replaces one that is as new or newer by ``at`` (the source's update time where
+    both have it); without such a time it only adds keys that the table lacks."""
     from pyspark.sql import functions as F
 
     from halyard.operators.merge import latest, upsert
@@ -70,15 +73,23 @@ def replay_quarantine(spark: SparkSession, lake: Lake, dataset: str, schema: str
     log = Table(spark, lake.path("metadata", "quarantine_records"), lake.fmt)
     if not log.exists():
         return 0
-    all_rows = log.read()
-    mine = all_rows.filter(F.col("source_name") == dataset)
-    rows, marked = quality.replay(mine, schema, rules if rules is not None else quality.catalog(dataset), run.as_of)
+    rules = rules if rules is not None else quality.catalog(dataset)
+
+    def replayed(rows):
+        return quality.replay(rows.filter(F.col("source_name") == dataset), schema, rules, run.as_of)
+
+    rows, _ = replayed(log.read())
     table = Table(spark, lake.path("silver", target), lake.fmt)
     old = table.read()
     names = [c for c in old.columns if c in rows.columns]
-    rows = latest(rows, [key], [F.xxhash64(*rows.columns).asc()]).select(*[F.col(c).cast(old.schema[c].dataType).alias(c) if c in names else F.lit(None).cast(old.schema[c].dataType).alias(c) for c in old.columns])
+    at = at or next((c for c in ("source_updated_at", "updated_at") if c in names), None)
+    order = ([F.col(at).desc_nulls_last()] if at else []) + [F.xxhash64(*rows.columns).asc()]
+    rows = latest(rows, [key], order).select(*[F.col(c).cast(old.schema[c].dataType).alias(c) if c in names else F.lit(None).cast(old.schema[c].dataType).alias(c) for c in old.columns])
+    held = old.select(F.col(key).alias("_held"), (F.col(at) if at else F.lit(None).cast("timestamp")).alias("_held_at"), F.lit(True).alias("_there"))
+    newer = F.col(at) > F.col("_held_at") if at else F.lit(False)
+    rows = rows.join(held, rows[key].eqNullSafe(held["_held"]), "left").filter(F.col("_there").isNull() | newer).select(*old.columns)
     n = rows.count()
     table.overwrite(upsert(old, rows, [key]))
     # The statuses are swapped in last: a replay that broke off before can be repeated.
-    log.overwrite(all_rows.filter(F.col("source_name") != dataset).unionByName(marked))
+    log.rewrite(lambda all_rows: all_rows.filter(~F.col("source_name").eqNullSafe(dataset)).unionByName(replayed(all_rows)[1]))
     return n

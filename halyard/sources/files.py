@@ -5,6 +5,7 @@ from __future__ import annotations
 import threading
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,51 +92,84 @@ _APPENDING = threading.Lock()
 class Table:
     """A table at a path, each overwrite in a version folder of its own.
 
-    A pointer file names the version in use and is replaced last, so that readers
-    see the old table or the new one, a table can be read while its next version is
-    written, and a failed write changes nothing.
+    Pointer files, named by their number alone, name a version folder each; the last one
+    counts. Readers see the old table or the new one, a table can be read while its next
+    version is written, and a failed write changes nothing. Two writers that start from one
+    version meet on the next number: the second gets an error and no update is lost, on
+    stores that create a file atomically (HDFS, local files, ABFS). Plain S3 doesn't; there a
+    path needs one writer at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str, fmt: str = "parquet"):
         self.spark, self.path, self.fmt = spark, path.rstrip("/"), fmt
+        self._seen: int | None = None  # the version that this object has read or written
 
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
         at = jvm.org.apache.hadoop.fs.Path(self.path)
         return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
-    def version(self) -> str | None:
-        """The version in use: the last committed pointer by its number."""
+    def _numbers(self) -> list[int]:
         fs, path = self._fs()
         at = path(f"{self.path}/_pointers")
-        if not fs.exists(at):
-            return None
-        names = sorted(s.getPath().getName() for s in fs.listStatus(at) if not s.getPath().getName().startswith("."))
-        return names[-1].split(".", 1)[1] if names else None
+        return sorted(int(s.getPath().getName()) for s in fs.listStatus(at) if s.getPath().getName().isdigit()) if fs.exists(at) else []
+
+    def _folder(self, number: int) -> str | None:
+        """The version folder that a pointer names; None for one whose writer died before it named any."""
+        fs, path = self._fs()
+        stream = fs.open(path(f"{self.path}/_pointers/{number:012d}"))
+        try:
+            return stream.readUTF() if stream.available() else None
+        finally:
+            stream.close()
+
+    def _latest(self) -> tuple[int, str] | None:
+        for number in reversed(self._numbers()):
+            if folder := self._folder(number):
+                return number, folder
+        return None
+
+    def version(self) -> str | None:
+        """The version in use: the folder that the last pointer names."""
+        found = self._latest()
+        return found and found[1]
 
     def exists(self) -> bool:
         return self.version() is not None
 
     def read(self) -> DataFrame:
-        version = self.version()
-        if version is None:
+        found = self._latest()
+        if found is None:
             raise FileNotFoundError(f"no table at {self.path}")
+        self._seen = found[0]
         # Appends with further columns are one table: the schemas of its files are merged.
-        return self.spark.read.option("mergeSchema", True).format(self.fmt).load(f"{self.path}/{version}")
+        return self.spark.read.option("mergeSchema", True).format(self.fmt).load(f"{self.path}/{found[1]}")
 
     def overwrite(self, df: DataFrame, partition_by: list[str] | None = None) -> None:
+        """The next version. It follows the one that this object has read: if another
+        writer was faster, that is an error."""
         fs, path = self._fs()
-        at = path(f"{self.path}/_pointers")
-        number = max((int(s.getPath().getName().split(".", 1)[0]) for s in fs.listStatus(at)), default=0) + 1 if fs.exists(at) else 1
+        numbers = self._numbers()
+        # Numbers whose writer died are passed over.
+        last = numbers[-1] if numbers else 0
+        if self._seen is not None and (found := self._latest()) and found[0] != self._seen:
+            raise RuntimeError(f"{self.path}: version {found[0]} was written by another run")
         version = f"v-{uuid.uuid4().hex}"
         writer = df.write.format(self.fmt)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(f"{self.path}/{version}")
-        fs.mkdirs(at)
-        # createNewFile fails if another writer took this number: a lost update is an error.
-        if not fs.createNewFile(path(f"{self.path}/_pointers/{number:012d}.{version}")):
-            raise RuntimeError(f"{self.path}: version {number} was written by another run")
+        fs.mkdirs(path(f"{self.path}/_pointers"))
+        number = last + 1
+        at = path(f"{self.path}/_pointers/{number:012d}")
+        try:
+            stream = fs.create(at, False)  # fails if another writer took this number
+        except Py4JJavaError as e:
+            fs.delete(path(f"{self.path}/{version}"), True)
+            raise RuntimeError(f"{self.path}: version {number} was written by another run") from e
+        stream.writeUTF(version)
+        stream.close()
+        self._seen = number
 
     def append(self, df: DataFrame) -> None:
         """Adds rows to the version in use (logs); a new table starts its first version."""
@@ -145,16 +179,34 @@ class Table:
                 return
             df.write.format(self.fmt).mode("append").save(f"{self.path}/{self.version()}")
 
+    def _files(self) -> list[str]:
+        fs, path = self._fs()
+        return sorted(s.getPath().getName() for s in fs.listStatus(path(f"{self.path}/{self.version()}")))
+
+    def rewrite(self, change) -> None:
+        """Replace the table by ``change`` of it, with all rows that are appended meanwhile:
+        appends of this process wait, and where files of another were added it starts over."""
+        with _APPENDING:
+            while True:
+                before = self._files()
+                kept = self.read()
+                new = change(kept)
+                staged = f"{self.path}/_staged-{uuid.uuid4().hex}"
+                new.write.format(self.fmt).save(staged)
+                fs, path = self._fs()
+                if self._files() == before:
+                    self.overwrite(self.spark.read.schema(new.schema).format(self.fmt).load(staged))
+                    fs.delete(path(staged), True)
+                    return
+                fs.delete(path(staged), True)
+
     def vacuum(self, keep: int = 2) -> None:
         """Deletes all but the last ``keep`` versions."""
         fs, path = self._fs()
-        at = path(f"{self.path}/_pointers")
-        if not fs.exists(at):
-            return
-        names = sorted(s.getPath().getName() for s in fs.listStatus(at))
-        for name in names[: -keep or None]:
-            fs.delete(path(f"{self.path}/{name.split('.', 1)[1]}"), True)
-            fs.delete(path(f"{self.path}/_pointers/{name}"), False)
+        for number in self._numbers()[: -keep or None]:
+            if folder := self._folder(number):
+                fs.delete(path(f"{self.path}/{folder}"), True)
+            fs.delete(path(f"{self.path}/_pointers/{number:012d}"), False)
 
 
 def evolve(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -22,22 +22,34 @@ def stream_files(spark: SparkSession, path: str, schema: str, fmt: str = "parque
     return reader.load(path)
 
 
-def merge_stream(stream: DataFrame, target: Table, keys: list[str], seq: str, checkpoint: str, op: str | None = None, delete: str = "D") -> StreamingQuery:
+def merge_stream(stream: DataFrame, target: Table, keys: list[str], seq: str, checkpoint: str, op: str | None = None, delete: str = "D", keep: int = 2) -> StreamingQuery:
     """Upsert each micro-batch into ``target``: its net changes by key. A batch that runs
-    again after a failure gives the same table; older changes never replace newer ones."""
+    again after a failure gives the same table; older changes never replace newer ones, nor
+    bring back a key that was deleted later: deleted keys are kept, with the number of
+    their deletion, in a table beside ``target``. Versions but the last ``keep`` are deleted."""
+    graves = Table(target.spark, f"{target.path}__deleted", target.fmt)
 
     def apply(batch: DataFrame, epoch: int) -> None:
         rows = batch if op else batch.withColumn("_op", F.lit("U"))
         name = op or "_op"
         net = net_changes(rows, keys, seq, name)
-        if not target.exists():
-            target.overwrite(net.filter(F.col(name) != delete).drop(name))
-            return
-        old = target.read()
-        since = old.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(seq).alias("_since"))
-        met = net.join(since, [net[k] == since[f"_k{i}"] for i, k in enumerate(keys)], "left")
-        newer = met.filter(F.col("_since").isNull() | (F.col(seq) >= F.col("_since"))).withColumn("_gone", F.col(name) == delete)
-        target.overwrite(upsert(old, newer.select(*[c for c in net.columns if c != name], "_gone"), keys, "_gone"))
+        gone = F.col(name) == delete
+        marks = [t.read().select(*keys, F.col(seq).alias("_since")) for t in (target, graves) if t.exists()]
+        if marks:
+            known = marks[0] if len(marks) == 1 else marks[0].unionByName(marks[1])
+            known = known.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max("_since").alias("_since"))
+            met = net.join(known, [net[k].eqNullSafe(known[f"_k{i}"]) for i, k in enumerate(keys)], "left")
+            net = met.filter(F.col("_since").isNull() | (F.col(seq) >= F.col("_since"))).select(*net.columns)
+        ended = net.filter(gone).select(*keys, seq)
+        # The deletions first: if the batch breaks off after them, it gives the same when it runs again.
+        if not ended.isEmpty():
+            graves.overwrite(upsert(graves.read(), ended, keys) if graves.exists() else ended)
+            graves.vacuum(keep)
+        if target.exists():
+            target.overwrite(upsert(target.read(), net.withColumn("_gone", gone).drop(name), keys, "_gone"))
+        else:
+            target.overwrite(net.filter(~gone).drop(name))
+        target.vacuum(keep)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -27,7 +27,7 @@ def ts(d):
 def patients(n=20, at=datetime(2024, 1, 1)):
     out = []
     for i in range(n):
-        out.append({"patient_id": f"P{i:03d}", "first_name": f"F{i}", "last_name": f"L{i}", "date_of_birth": f"19{50 + i}-03-04", "gender": "female", "address_street": f"{i} Oak St", "city": "Austin", "state": "TX", "postal_code": "73301", "insurance_type": "Medicare", "created_at": ts(at), "updated_at": ts(at), "is_deleted": 0})
+        out.append({"patient_id": f"P{i:03d}", "first_name": f"F{i}", "last_name": f"L{i}", "date_of_birth": f"19{50 + i}-03-04", "gender": "female", "address_street": f"{i} Mill Lane", "city": "Austin", "state": "TX", "postal_code": "73301", "insurance_type": "Medicare", "created_at": ts(at), "updated_at": ts(at), "is_deleted": 0})
     out[1]["date_of_birth"] = ""  # missing
     out[2]["date_of_birth"] = "1999-02-31"  # unparsable
     return out
@@ -48,7 +48,7 @@ def write_landing(root):
         enc.append(e)
         diag.append({"diagnosis_id": f"G{i:03d}", "encounter_id": e["encounter_id"], "patient_id": e["patient_id"], "icd10_code": "E11.9" if i else "", "diagnosis_description": "Diabetes", "diagnosis_type": "Primary", "diagnosis_timestamp": ts(a), "created_at": ts(a), "updated_at": ts(a)})
         labs.append({"lab_result_id": f"L{i:03d}", "encounter_id": e["encounter_id"], "patient_id": e["patient_id"], "loinc_code": "2345-7", "test_name": "Glucose", "result_value": "5.25" if i else "high", "result_unit": "mmol/L", "abnormal_flag": "N", "result_status": "final", "order_timestamp": ts(a), "result_timestamp": ts(a + timedelta(minutes=95)), "created_at": ts(a), "updated_at": ts(a)})
-        meds.append({"medication_order_id": f"M{i:03d}", "encounter_id": e["encounter_id"], "patient_id": e["patient_id"], "rxnorm_code": "860975", "medication_name": "Metformin", "dosage": "500 mg", "route": "oral", "frequency": "daily", "order_status": "active", "order_timestamp": ts(a), "created_at": ts(a), "updated_at": ts(a)})
+        meds.append({"medication_order_id": f"M{i:03d}", "encounter_id": e["encounter_id"], "patient_id": e["patient_id"], "rxnorm_code": "314076", "medication_name": "Lisinopril", "dosage": "10 mg", "route": "oral", "frequency": "daily", "order_status": "active", "order_timestamp": ts(a), "created_at": ts(a), "updated_at": ts(a)})
     enc[0]["discharge_timestamp"] = ts(start - timedelta(days=9))  # before admission
     enc[1]["discharge_timestamp"] = ""  # open
     enc[2]["patient_id"] = ""

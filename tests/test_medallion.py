@@ -85,7 +85,7 @@ def test_rerun_is_idempotent_and_changes_make_versions(spark, lake):
     dim = read(spark, lake, "gold", "dim_patient")
     rows = sorted((r.effective_start_date, r.effective_end_date, r.is_current, r.address_street) for r in dim.filter("patient_id = 'P005'").collect())
     at = datetime(2024, 3, 1)
-    assert rows == [(datetime(2024, 1, 1), at, False, "5 Oak St"), (at, None, True, "new street")]
+    assert rows == [(datetime(2024, 1, 1), at, False, "5 Mill Lane"), (at, None, True, "new street")]
     assert dim.filter("patient_id = 'P006'").count() == 1
     gone = dim.filter("patient_id = 'P007'").collect()
     assert len(gone) == 1 and not gone[0].is_current and gone[0].effective_end_date == at

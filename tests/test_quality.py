@@ -91,3 +91,21 @@ def test_rules_from_a_table(spark):
     df = spark.createDataFrame([(2, "d", "b", "RANGE", "b > 0", "ERROR", 1.0, True), (1, "d", "a", "NOT_NULL", "a IS NOT NULL", "CRITICAL", None, True), (3, "d", "c", "RANGE", "c > 0", "ERROR", 1.0, False)], "rule_id int, dataset_name string, column_name string, rule_type string, rule_expression string, severity string, failure_threshold double, active_flag boolean")
     assert [r.name for r in Q.rules_from(df, "d")] == ["NOT_NULL:a", "RANGE:b"]
     assert Q.rules_from(df, "other") == []
+
+
+def test_the_clock_does_not_depend_on_the_session_zone(spark):
+    from datetime import UTC, datetime, timedelta, timezone
+
+    from halyard.operators import quality as Q
+
+    clock = datetime(2024, 1, 5, 12, tzinfo=UTC)
+    rule = Q.Rule("d", "at", "RANGE", "at <= :as_of", "ERROR", 0.0)
+    rows = spark.createDataFrame([(1, clock - timedelta(hours=2)), (2, clock + timedelta(hours=2))], "id int, at timestamp")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/Los_Angeles", "UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            for as_of in (clock, clock.replace(tzinfo=None), clock.astimezone(timezone(timedelta(hours=5)))):
+                assert [r.id for r in Q.judge(rows, [rule], as_of).filter("_rule IS NULL").collect()] == [1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -85,3 +85,47 @@ def test_audit_logs_failures(spark, tmp_path):
     assert rows["bad"].execution_status == "FAILED" and rows["bad"].error_code == "ZeroDivisionError"
     with pytest.raises(ValueError):
         lake.path("platinum", "x")
+
+
+def test_two_writers_of_one_version(spark, tmp_path):
+    import pytest
+
+    from halyard.sources.files import Table
+
+    frame = lambda v: spark.createDataFrame([(v,)], "v int")
+    path = str(tmp_path / "t")
+    Table(spark, path).overwrite(frame(1))
+    a, b = Table(spark, path), Table(spark, path)
+    a.read(), b.read()
+    a.overwrite(frame(2))
+    with pytest.raises(RuntimeError):
+        b.overwrite(frame(3))
+    c, d = Table(spark, path), Table(spark, path)
+    taken = d._numbers()
+    c.overwrite(frame(4))
+    d._numbers = lambda: taken  # it looked before the other wrote
+    d._latest = lambda: None
+    with pytest.raises(RuntimeError):
+        d.overwrite(frame(5))
+    assert [r.v for r in Table(spark, path).read().collect()] == [4]
+    b.read()
+    b.overwrite(frame(6))
+    assert Table(spark, path).read().first().v == 6
+
+
+def test_rewrite_keeps_rows_that_are_appended_meanwhile(spark, tmp_path):
+    from halyard.sources.files import Table
+
+    path = str(tmp_path / "log")
+    log, other = Table(spark, path), Table(spark, path)
+    log.overwrite(spark.createDataFrame([(1,)], "v int"))
+    added = []
+
+    def change(rows):
+        if not added:  # another process appends while the new version is made
+            added.append(1)
+            spark.createDataFrame([(2,)], "v int").write.mode("append").parquet(f"{path}/{other.version()}")
+        return rows.selectExpr("v * 10 AS v")
+
+    log.rewrite(change)
+    assert sorted(r.v for r in other.read().collect()) == [10, 20]

@@ -20,6 +20,22 @@ def test_merge_stream_and_its_rerun(spark, tmp_path):
     assert run() == [(1, "A"), (3, "c")]  # nothing new
 
 
+def test_a_stale_change_does_not_bring_back_a_deleted_key(spark, tmp_path):
+    source, target = str(tmp_path / "in"), Table(spark, str(tmp_path / "out"))
+
+    def arrive(*rows):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        merge_stream(stream_files(spark, source, SCHEMA), target, ["k"], "seq", str(tmp_path / "ck"), "op").awaitTermination()
+        return sorted((r.k, r.v) for r in target.read().collect())
+
+    assert arrive((1, "a", 5, "U"), (2, "b", 1, "U")) == [(1, "a"), (2, "b")]
+    assert arrive((1, None, 9, "D")) == [(2, "b")]
+    assert arrive((1, "old", 3, "U")) == [(2, "b")]
+    assert arrive((1, "new", 12, "U")) == [(1, "new"), (2, "b")]
+    assert arrive((1, "older", 11, "U")) == [(1, "new"), (2, "b")]
+    assert len(target._numbers()) == 2  # older versions are deleted
+
+
 def test_windowed_counts_close_with_the_watermark(spark, tmp_path):
     rows = [(datetime(2024, 1, d, h), "x") for d in (1, 2, 3) for h in (1, 2)]
     source = str(tmp_path / "ev")

@@ -102,3 +102,45 @@ def test_reconcile(spark):
 def test_hash_surrogate_is_never_negative(spark):
     assert spark.range(1000).filter(M.hash_surrogate(["id"]) < 0).isEmpty()
     assert spark.range(5).select(M.hash_surrogate(["id"]).alias("h")).agg(F.countDistinct("h")).first()[0] == 5
+
+
+def test_a_batch_from_before_a_deletion_changes_nothing(spark):
+    from halyard import schemas
+    from halyard.plans.gold import dim_patient
+
+    attributes = list(schemas.PATIENT_ATTRIBUTES)
+
+    def batch(at, deleted, street="a"):
+        values = {c: "x" for c in attributes} | {"patient_id": "p", "address_street": street, "updated_at": at, "is_deleted": deleted}
+        ddl = ", ".join(["patient_id string", *[f"{c} {'date' if c == 'date_of_birth' else 'string'}" for c in attributes], "updated_at timestamp", "is_deleted boolean"])
+        values |= {"date_of_birth": at.date()} if "date_of_birth" in attributes else {}
+        return spark.createDataFrame([tuple(values[c.split()[0]] for c in ddl.split(", "))], ddl)
+
+    def fresh(df):
+        return spark.createDataFrame(df.collect(), df.schema)
+
+    def seen(df):
+        return sorted((r.effective_start_date.day, r.effective_end_date and r.effective_end_date.day, r.is_current) for r in df.collect() if r.patient_id == "p")
+
+    first = batch(day(1), False)
+    dim = fresh(dim_patient(first, None))
+    dim = fresh(dim_patient(batch(day(10), True), dim))
+    assert seen(dim) == [(1, 10, False)]
+    dim = fresh(dim_patient(first, dim))  # the first batch again
+    assert seen(dim) == [(1, 10, False)]
+    dim = fresh(dim_patient(batch(day(5), False, "late"), dim))  # a change from before the deletion
+    assert seen(dim) == [(1, 10, False)]
+    dim = fresh(dim_patient(batch(day(20), False), dim))  # back, unchanged
+    assert seen(dim) == [(1, 10, False), (20, None, True)]
+    dim = fresh(dim_patient(batch(day(10), True), dim))  # the old deletion again
+    assert seen(dim) == [(1, 10, False), (20, None, True)]
+    keys = [r.patient_sk for r in dim.collect()]
+    assert len(keys) == len(set(keys))
+
+
+def test_null_keys_are_merged_like_others(spark):
+    old = spark.createDataFrame([(None, "a"), (1, "b")], "k int, v string")
+    new = spark.createDataFrame([(None, "A")], "k int, v string")
+    once = M.upsert(old, new, ["k"])
+    assert sorted(map(tuple, once.collect()), key=str) == [(1, "b"), (None, "A")]
+    assert sorted(map(tuple, M.upsert(once, new, ["k"]).collect()), key=str) == [(1, "b"), (None, "A")]

@@ -1,12 +1,19 @@
 """Operator 4, language-model scoring with a hashed maximum-entropy model.
 
-The next token's probability is factored: a softmax over classes, whose features are
-hashed n-grams and skip-grams of the classes before it, times the token's share of its
-class. A few frequent words are classes by themselves; the others fall into classes by
-their ending, as do unknown words. Weights are trained by gradient updates: in each
-round every partition updates its own copy on its tokens, and the changes of each
-weight row, weighed by how often the row was used, are averaged in Spark. Each training
-token is used in one round. Scoring works on batches of documents as numpy arrays.
+The next token's probability is factored in three: a softmax over classes, a softmax over
+the members of the class, and the token's share of its member. A few frequent words are
+classes by themselves; the others fall into classes by their ending. Within such a class
+its most frequent words are members by themselves, the others are hashed to members, as
+are unknown words. A word's class and member together, its leaf, are also the hashed word
+that stands in contexts. Features are, for the class, the word before (hashed n-gram), the
+class of the word before that (skip) and both (hashed); for the member, the class and the
+class with the word before.
+
+All that training needs of the corpus are the counts of (context, outcome), whose number
+is bounded. They are added up over all training tokens; each round then takes one Newton
+step on all of them, the blocks of contexts on the executors and what blocks share summed
+up in order. So the weights depend on the training texts alone, not on their partitions.
+Scoring looks tables of log-probabilities up, for batches of documents as numpy arrays.
 """
 
 from __future__ import annotations
@@ -16,38 +23,48 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LONG_WORD, give_back, materialise, remainder
+from .common import LONG_WORD, give_back, materialise, release, remainder, small_batches
 
 SMOOTH = 0.1
 SINGLES, ENDINGS = 39, 24  # classes: the end, SINGLES words, ENDINGS by ending
-CLASSES = 1 + SINGLES + ENDINGS
-START = CLASSES  # stands before a document's first token
-BACK = 5
+ALONE = 1 + SINGLES  # classes of one word; a leaf each
+CLASSES = ALONE + ENDINGS
+HEADS, MEMBERS = 40, 64  # members of an ending class: HEADS words, the rest hashed
+LEAVES = ALONE + ENDINGS * MEMBERS
+#: What can stand in a context: a leaf, or the start of the document.
+KINDS, SKIPS = LEAVES + 1, CLASSES + 1
+SLOTS = 16  # hashed pairs of a word and a skipped class, for each word
 #: Words that every task holds; the counts of the others are joined.
 FREQUENT = 200_000
-PAIR_ROWS = 4096
-ROUNDS, BATCH, RATE = 2, 32768, 0.3
+ROUNDS, RATE, PRIOR, FARTHEST = 10, 0.5, 2.0, 1.0
+BLOCK = 50  # words of context in one row of the counts
+SALTS = 64
 LOT = 8_000_000
 END = b""  # the end token among words: no word is empty
 
-#: Features: the class at each of BACK places before, the pairs of PAIRS hashed, and a bias.
-PAIRS = ((1, 2), (1, 3), (4, 5))
-_KINDS = CLASSES + 1
-_FIRST = BACK * _KINDS
-ROWS = _FIRST + len(PAIRS) * PAIR_ROWS + 1
-_A, _B = np.repeat(np.arange(_KINDS), _KINDS), np.tile(np.arange(_KINDS), _KINDS)
-#: The weight row of each pair's feature, by its code ``a * _KINDS + b``.
-_HASHED = [_FIRST + j * PAIR_ROWS + (_A * 31337 + _B * 69069 + _A * _B + j * 7919) % PAIR_ROWS for j in range(len(PAIRS))]
+_SLOT = (np.arange(SKIPS) * 40503 >> 4) % SLOTS
+#: Class of each leaf; the start's is one of its own.
+_CLASS = np.concatenate((np.arange(ALONE), ALONE + np.arange(ENDINGS * MEMBERS) // MEMBERS, [CLASSES])).astype(np.int64)
+_MEMBER = np.concatenate((np.zeros(ALONE), np.arange(ENDINGS * MEMBERS) % MEMBERS, [0])).astype(np.int64)
+#: Leaves of one word: those have no share to score.
+_SINGLE = np.concatenate((np.ones(ALONE, bool), np.arange(ENDINGS * MEMBERS) % MEMBERS < HEADS))
+FIRST, SECOND = SKIPS * CLASSES, ENDINGS * MEMBERS  # cells of a word of context: of classes, of members
 
 
-def ending_class(word: bytes) -> int:
-    return 1 + SINGLES + zlib.crc32(word[-2:]) % ENDINGS
+def ending(word: bytes) -> int:
+    return zlib.crc32(word[-2:]) % ENDINGS
+
+
+def hashed_leaf(word: bytes) -> int:
+    """Leaf of a word that is no class and no head of one."""
+    return ALONE + ending(word) * MEMBERS + HEADS + zlib.crc32(word) % (MEMBERS - HEADS)
 
 
 # The lots are copied out with ``take``: string kernels of pyarrow 23 read a slice of
@@ -121,8 +138,8 @@ class Vocabulary:
     v: int  # distinct ones
     words: dict[bytes, int]  # frequent word to its index
     logs: np.ndarray  # log10(count + SMOOTH), by index
-    classes: np.ndarray  # class, by index
-    log_totals: np.ndarray  # log10 of each ending class's mass; 0 for classes of one token
+    leaves: np.ndarray  # leaf, by index
+    log_totals: np.ndarray  # log10 of each hashed leaf's mass; 0 for leaves of one token
 
     @property
     def log_total(self) -> float:
@@ -134,14 +151,12 @@ def count_words(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(_count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def vocabulary(counts: DataFrame, frequent: int = FREQUENT) -> tuple[Vocabulary, np.ndarray]:
-    """The vocabulary, and the training tokens in each class.
-
-    Frequent words are those over a count that at most ``frequent`` exceed, found from
-    a histogram of logarithms: a bounded number of rows reaches the driver.
-    """
+def vocabulary(counts: DataFrame, frequent: int = FREQUENT) -> Vocabulary:
+    """Frequent words are those over a count that at most ``frequent`` exceed, found from
+    a histogram of logarithms: a bounded number of rows reaches the driver."""
     level = F.floor(F.log2(F.col("c").cast("double")) * 16).cast("int")
     kind = F.pmod(F.crc32(F.substring("word", -2, 2)), F.lit(ENDINGS)).cast("int")
+    part = F.pmod(F.crc32("word"), F.lit(MEMBERS - HEADS)).cast("int")
     stats = counts.groupBy(level.alias("level")).agg(F.count("*").alias("v"), F.sum("c").alias("n")).collect()
     n, v = sum(r["n"] for r in stats), sum(r["v"] for r in stats)
     held, floor = 0, None
@@ -153,32 +168,36 @@ def vocabulary(counts: DataFrame, frequent: int = FREQUENT) -> tuple[Vocabulary,
     if END not in dict(top):  # the end is always held, as often as there are training documents
         top += [(END, r["c"]) for r in counts.filter(F.length("word") == 0).collect()]
     top.sort(key=lambda x: (-x[1], x[0]))
-    single: dict[bytes, int] = {END: 0}
+    leaf: dict[bytes, int] = {END: 0}  # of words that are alone in theirs
+    heads = [0] * ENDINGS
     for w, _ in top:
-        if w not in single and len(single) <= SINGLES:
-            single[w] = len(single)
-    mass = np.zeros((2, CLASSES))
+        if w == END:
+            continue
+        if len(leaf) < ALONE:
+            leaf[w] = len(leaf)
+        elif heads[k := ending(w)] < HEADS:
+            leaf[w] = ALONE + k * MEMBERS + heads[k]
+            heads[k] += 1
+    mass = np.zeros((2, LEAVES))
     if n:
-        for r in counts.groupBy(kind.alias("kind")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
-            mass[:, 1 + SINGLES + r["kind"]] = r["n"], r["v"]
+        for r in counts.groupBy(kind.alias("kind"), part.alias("part")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
+            mass[:, ALONE + r["kind"] * MEMBERS + HEADS + r["part"]] = r["n"], r["v"]
         for w, c in top:
-            if w in single:
-                mass[:, ending_class(w)] -= c, 1
-                mass[0, single[w]] = c
-    totals = np.zeros(CLASSES)
-    totals[1 + SINGLES :] = np.log10(mass[0, 1 + SINGLES :] + SMOOTH * (mass[1, 1 + SINGLES :] + 1))
-    classes = np.array([single.get(w, ending_class(w)) for w, _ in top], np.uint8)
+            if w in leaf:
+                mass[:, hashed_leaf(w)] -= c, 1
+    totals = np.where(_SINGLE, 0, np.log10(mass[0] + SMOOTH * (mass[1] + 1)))
+    leaves = np.array([leaf[w] if w in leaf else hashed_leaf(w) for w, _ in top], np.uint16)
     logs = np.log10(np.array([c for _, c in top], float) + SMOOTH)
-    return Vocabulary(n, v, {w: i for i, (w, _) in enumerate(top)}, logs, classes, totals), mass[0]
+    return Vocabulary(n, v, {w: i for i, (w, _) in enumerate(top)}, logs, leaves, totals)
 
 
-_CODED = "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, totals double, classes binary, rare array<struct<word:binary,n:int>>"
+_CODED = "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, totals double, leaves binary, rare array<struct<word:binary,n:int>>"
 
 
 def _encode(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Vocabulary = shared.value
-        logs, kinds = np.append(own.logs, 0.0), np.append(own.classes, 0)
+        logs, kinds = np.append(own.logs, 0.0), np.append(own.leaves, 0).astype(np.int64)
         rid = TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = batch.column("text")
@@ -187,14 +206,14 @@ def _encode(shared):
                 index = np.fromiter((own.words.get(w, -1) for w in distinct), np.int64, len(distinct))
                 kind = kinds[index]
                 for i in np.flatnonzero(index < 0).tolist():
-                    kind[i] = ending_class(distinct[i]) if distinct[i] else 0
-                known, classes = index[codes] >= 0, kind[codes].astype(np.uint8)
+                    kind[i] = hashed_leaf(distinct[i]) if distinct[i] else 0
+                known, leaves = index[codes] >= 0, kind[codes].astype(np.uint16)
                 log, total = logs[index], own.log_totals[kind]
                 if not own.n:  # nothing was learnt: the end is the one unknown token that isn't joined
                     log[distinct.index(END)] = np.log10(SMOOTH)
                 starts = np.concatenate(([0], ends[:-1]))
-                # A class of one token has no share to score: there ``totals`` takes its own log away again.
-                sums = [np.add.reduceat(x[codes], starts) for x in (log, np.where(kind <= SINGLES, log, total))]
+                # A leaf of one token has no share to score: there ``totals`` takes its own log away again.
+                sums = [np.add.reduceat(x[codes], starts) for x in (log, np.where(_SINGLE[kind], log, total))]
                 doc = np.repeat(np.arange(len(ends)), ends - starts)
                 joined = ~known & (codes != distinct.index(END))
                 pairs, n = np.unique(doc[joined] * len(distinct) + codes[joined], return_counts=True)
@@ -208,7 +227,7 @@ def _encode(shared):
                         pa.array(ends - starts),
                         pa.array(np.add.reduceat(known.astype(np.int64), starts)),
                         *map(pa.array, sums),
-                        pa.array([classes[i:j].tobytes() for i, j in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary()),
+                        pa.array([leaves[i:j].tobytes() for i, j in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), rare),
                     ],
                     [c.split()[0] for c in _CODED.split(", ")],
@@ -218,139 +237,179 @@ def _encode(shared):
     return run
 
 
-def _contexts(seqs: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """(code of each pair of PAIRS before each token, the token's class, where each document ends)."""
-    size = np.fromiter(map(len, seqs), np.int64, len(seqs))
-    pad = bytes([START]) * BACK
-    line = np.frombuffer(b"".join(x for s in seqs for x in (pad, s)), np.uint8).astype(np.uint16)
-    at = np.arange(int(size.sum())) + np.repeat((np.arange(len(seqs)) + 1) * BACK, size)
-    return [line[at - a] * np.uint16(_KINDS) + line[at - b] for a, b in PAIRS], line[at].astype(np.int64), np.cumsum(size)
-
-
-def combined(w: np.ndarray) -> list[np.ndarray]:
-    """For each pair the sum of all weights that its code decides: the features that a
-    token's places share are looked up at once. Each place counts once."""
-    place, done, out = w[:_FIRST].reshape(BACK, _KINDS, CLASSES), set(), []
-    for rows, pair in zip(_HASHED, PAIRS, strict=True):
-        t = w[rows].reshape(_KINDS, _KINDS, CLASSES)
-        for k, side in zip(pair, (np.s_[:, None], np.s_[None, :]), strict=True):
-            if k not in done:
-                t += place[k - 1][side]
-                done.add(k)
-        out.append(t.reshape(-1, CLASSES))
-    out[0] += w[-1]
-    return out
-
-
-_ONES = np.ones(CLASSES, np.float32)
-
-
-def _masses(tables: list[np.ndarray], codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(logits, their exponentials, the sum of these by token)."""
-    z = tables[0].take(codes[0], 0)
-    more = np.empty_like(z)
-    for t, c in zip(tables[1:], codes[1:], strict=True):
-        z += np.take(t, c, 0, out=more, mode="clip")
-    if z.max(initial=0) > 60:  # else nothing can overflow
-        z -= z.max(1, keepdims=True)
-    e = np.exp(z, out=more)
-    return z, e, e @ _ONES
-
-
-def log_probabilities(tables: list[np.ndarray], codes: list[np.ndarray], classes: np.ndarray) -> np.ndarray:
-    """Natural log of the probability of each token's class."""
-    z, _, total = _masses(tables, codes)
-    return z[np.arange(len(z)), classes] - np.log(total)
-
-
-def _updates(w: np.ndarray, heat: np.ndarray, used: np.ndarray, codes: list[np.ndarray], classes: np.ndarray) -> None:
-    """One gradient update on a batch, steps scaled by each weight's past gradients."""
-    _, g, total = _masses(combined(w), codes)
-    g /= total[:, None]
-    g[np.arange(len(g)), classes] -= 1
-    done, sorted_g = set(), np.empty_like(g)
-
-    def move(at: np.ndarray | slice, step: np.ndarray, n: np.ndarray | int) -> None:
-        used[at] += n
-        hot = heat[at] + step * step
-        heat[at] = hot
-        w[at] -= RATE * step / np.sqrt(hot + 1)
-
-    move(np.array([ROWS - 1]), g.sum(0, keepdims=True), len(g))
-    for rows, pair, code in zip(_HASHED, PAIRS, codes, strict=True):
-        # Gradients are summed by code first; the features of its places add up from these sums.
-        at, sums, count = _sums(code, g, sorted_g)
-        for k, side in zip(pair, (_A[at], _B[at]), strict=True):
-            if k not in done:
-                done.add(k)
-                one = np.zeros((len(at), _KINDS), np.float32)
-                one[np.arange(len(at)), side] = 1
-                move(np.s_[(k - 1) * _KINDS : k * _KINDS], one.T @ sums, count @ one)
-        move(*_sums(rows[at], sums, np.empty_like(sums), count))
-
-
-def _sums(key: np.ndarray, g: np.ndarray, out: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct keys, sums of the rows of g by key, how many there were)."""
-    order = np.argsort(key, kind="stable")
-    ordered = key[order]
-    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    sums = np.add.reduceat(np.take(g, order, 0, out=out, mode="clip"), first, 0)
-    n = np.diff(np.append(first, len(order))) if weight is None else np.add.reduceat(weight[order], first)
-    return ordered[first].astype(np.int64), sums, n
-
-
-def _train(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start = shared.value
-        w, heat, used = start.copy(), np.zeros_like(start), np.zeros(len(start))
-        for batch in batches:
-            seqs = batch.column("classes").to_pylist()
-            for i in range(0, len(seqs), 400):
-                codes, classes, _ = _contexts(seqs[i : i + 400])
-                for a in range(0, len(classes), BATCH):
-                    _updates(w, heat, used, [c[a : a + BATCH] for c in codes], classes[a : a + BATCH])
-        at = np.flatnonzero(used)
-        change = ((w - start)[at] * used[at, None]).astype(np.float32)
-        flat = pa.array(change.ravel())
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(used[at]), pa.FixedSizeListArray.from_arrays(flat, CLASSES).cast(pa.list_(pa.float32()))], ["row", "used", "change"])
+def _contexts(seqs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each token: the leaf before it, the class before that, its own leaf; and where each document ends."""
+    size = np.fromiter((len(s) // 2 for s in seqs), np.int64, len(seqs))
+    pad = np.full(2, LEAVES, np.uint16).tobytes()
+    line = np.frombuffer(b"".join(x for s in seqs for x in (pad, s)), np.uint16).astype(np.int64)
+    at = np.arange(int(size.sum())) + np.repeat((np.arange(len(seqs)) + 1) * 2, size)
+    return line[at - 1], _CLASS[line[at - 2]], line[at], np.cumsum(size)
+
+
+def _cells(before: np.ndarray, skipped: np.ndarray, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(cell of each token's class, cell of its member, which tokens have a member)."""
+    kind = _CLASS[leaf]
+    first = before * FIRST + skipped * CLASSES + kind
+    inner = kind >= ALONE
+    second = before * SECOND + (kind - ALONE) * MEMBERS + _MEMBER[leaf]
+    return first, second, inner
 
-    return run
 
+_COUNTS = "block int, salt int, cells binary, counts binary"
+_BLOCKS = -(-KINDS // BLOCK)
 
-def train(coded: DataFrame, mass: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights, from the rows of ``coded`` that aren't held out; each is used in one round.
 
-    What a partition sends are the rows it changed, at most ROWS; they are averaged by
-    row in Spark, and ROWS averages reach the driver."""
-    spark = coded.sparkSession
-    w = np.zeros((ROWS, CLASSES), np.float32)
-    w[ROWS - 1] = np.log(mass + 1) - np.log(mass.sum() + CLASSES)
-    for r in range(rounds):
+def _count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a task's cells; those of members come after those of classes."""
+    first, second = np.zeros(KINDS * FIRST, np.int32), np.zeros(KINDS * SECOND, np.int32)
+    for batch in batches:
+        seqs = batch.column("leaves").to_pylist()
+        for i in range(0, len(seqs), 400):
+            before, skipped, leaf, _ = _contexts(seqs[i : i + 400])
+            a, b, inner = _cells(before, skipped, leaf)
+            for held, cells in ((first, a), (second, b[inner])):
+                at, n = np.unique(cells, return_counts=True)
+                held[at] += n.astype(np.int32)
+    salt = TaskContext.get().partitionId() % SALTS
+    rows = []
+    for k in range(_BLOCKS):
+        parts = [held[k * BLOCK * width : (k + 1) * BLOCK * width] for held, width in ((first, FIRST), (second, SECOND))]
+        dense = np.concatenate(parts)
+        at = np.flatnonzero(dense)
+        if len(at):
+            rows.append((k, salt, at.astype(np.int32).tobytes(), dense[at].astype(np.int64).tobytes()))
+    names = ["block", "salt", "cells", "counts"]
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], names)
+    give_back()
+
+
+def _added(pdf: pd.DataFrame) -> pd.DataFrame:
+    total = np.zeros(BLOCK * (FIRST + SECOND), np.int64)
+    for cells, counts in zip(pdf["cells"], pdf["counts"], strict=True):
+        total[np.frombuffer(cells, np.int32)] += np.frombuffer(counts, np.int64)
+    at = np.flatnonzero(total)
+    return pd.DataFrame({"block": [pdf["block"].iloc[0]], "salt": [pdf["salt"].iloc[0]], "cells": [at.astype(np.int32).tobytes()], "counts": [total[at].tobytes()]})
+
+
+def count_contexts(coded: DataFrame) -> DataFrame:
+    """Counts of all (context, outcome) of the rows that aren't held out, a row for each
+    block of contexts. Tasks add up first, then salts, then blocks: no row or group grows
+    with the corpus beyond the number of cells and of tasks by salt."""
+    part = coded.filter(~F.col("held_out")).select("leaves").mapInArrow(_count_contexts, _COUNTS)
+    salted = part.groupBy("block", "salt").applyInPandas(_added, _COUNTS)
+    return salted.withColumn("salt", F.lit(0)).groupBy("block").applyInPandas(_added, _COUNTS)
+
+
+@dataclass
+class Weights:
+    bias: np.ndarray  # (classes)
+    skip: np.ndarray  # (skipped class, classes)
+    word: np.ndarray  # (word before, classes)
+    pair: np.ndarray  # (word before, slot of the skipped class, classes)
+    kind: np.ndarray  # (ending class, members)
+    inner: np.ndarray  # (word before, ending class, members)
+
+    @classmethod
+    def zero(cls) -> Weights:
+        return cls(np.zeros(CLASSES), np.zeros((SKIPS, CLASSES)), np.zeros((KINDS, CLASSES)), np.zeros((KINDS, SLOTS, CLASSES)), np.zeros((ENDINGS, MEMBERS)), np.zeros((KINDS, ENDINGS, MEMBERS)))
+
+    def logits(self, of: slice) -> tuple[np.ndarray, np.ndarray]:
+        """For words before: (word, skipped class, class) and (word, ending class, member)."""
+        return self.bias + self.skip + self.word[of, None, :] + self.pair[of][:, _SLOT, :], self.kind + self.inner[of]
+
+
+def _log_softmax(z: np.ndarray) -> np.ndarray:
+    z = z - z.max(-1, keepdims=True)
+    return z - np.log(np.exp(z).sum(-1, keepdims=True))
+
+
+def newton(w: np.ndarray, gradient: np.ndarray, curvature: np.ndarray) -> np.ndarray:
+    """Weights after one step: by each weight's own curvature, with a Gaussian prior, and of a
+    bounded length; RATE allows for the features of a token that move together."""
+    step = RATE * (gradient + PRIOR * w) / (curvature + PRIOR)
+    return w - np.clip(step, -FARTHEST, FARTHEST)
+
+
+def _step(shared):
+    """New weights of a block's own features; gradient and curvature of those that blocks share."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        w: Weights = shared.value
+        for pdf in parts:
+            out = []
+            for block, cells, counts in zip(pdf["block"], pdf["cells"], pdf["counts"], strict=True):
+                of = slice(block * BLOCK, min(KINDS, (block + 1) * BLOCK))
+                many = of.stop - of.start
+                dense = np.zeros(BLOCK * (FIRST + SECOND))
+                dense[np.frombuffer(cells, np.int32)] = np.frombuffer(counts, np.int64)
+                # A short last block has fewer cells of classes, after which its members come.
+                first, second = dense[: many * FIRST].reshape(many, SKIPS, CLASSES), dense[many * FIRST : many * (FIRST + SECOND)].reshape(many, ENDINGS, MEMBERS)
+                slopes = []
+                for seen, z in zip((first, second), w.logits(of), strict=True):
+                    p, n = np.exp(_log_softmax(z)), seen.sum(-1, keepdims=True)
+                    slopes.append((n * p - seen, n * p * (1 - p)))
+                (g, h), (g2, h2) = slopes
+                slots = np.eye(SLOTS)[_SLOT]  # (skipped class, slot)
+                own = (
+                    newton(w.word[of], g.sum(1), h.sum(1)),
+                    newton(w.pair[of], *(np.einsum("ks,wkc->wsc", slots, x) for x in (g, h))),
+                    newton(w.inner[of], g2, h2),
+                )
+                common = [x for k in ((g, h), (g2, h2)) for x in (y.sum(0) for y in k)]
+                out.append((block, np.concatenate([x.ravel() for x in own]).astype(np.float32).tobytes(), np.concatenate([x.ravel() for x in common]).tobytes()))
+            yield pd.DataFrame(out, columns=["block", "own", "common"])
+
+    return run
+
+
+def train(counts: DataFrame, rounds: int = ROUNDS) -> Weights:
+    """Weights from the table of ``count_contexts``. Each round reads all of it; the weights
+    of the blocks, a bounded number, reach the driver, and shared ones are summed in order of block."""
+    spark = counts.sparkSession
+    w = Weights.zero()
+    for _ in range(rounds):
         shared = spark.sparkContext.broadcast(w)
-        part = coded.filter(~F.col("held_out") & (F.pmod(F.xxhash64("rid"), F.lit(rounds)) == r)).select("classes")
-        changes = part.mapInArrow(_train(shared), "row int, used double, change array<float>")
-        sums = changes.groupBy("row").agg(F.sum("used").alias("used"), *[F.sum(F.col("change")[i]).alias(f"c{i}") for i in range(CLASSES)])
-        got = sums.toPandas()
-        w = w.copy()
-        if len(got):
-            w[got["row"].to_numpy()] += (got[[f"c{i}" for i in range(CLASSES)]].to_numpy() / got[["used"]].to_numpy()).astype(np.float32)
+        got = counts.select("block", "cells", "counts").mapInPandas(_step(shared), "block int, own binary, common binary").toPandas().sort_values("block")
+        if not len(got):
+            break
+        new = Weights.zero()
+        new.word, new.pair, new.inner = w.word.copy(), w.pair.copy(), w.inner.copy()
+        total = np.zeros(2 * FIRST + 2 * SECOND)
+        for block, own, common in zip(got["block"], got["own"], got["common"], strict=True):
+            of = slice(block * BLOCK, min(KINDS, (block + 1) * BLOCK))
+            many, flat = of.stop - of.start, np.frombuffer(own, np.float32).astype(np.float64)
+            sizes = np.cumsum([many * CLASSES, many * SLOTS * CLASSES])
+            new.word[of], new.pair[of], new.inner[of] = (x.reshape(many, *shape) for x, shape in zip(np.split(flat, sizes), ((CLASSES,), (SLOTS, CLASSES), (ENDINGS, MEMBERS)), strict=True))
+            total += np.frombuffer(common)
+        g, h, g2, h2 = np.split(total, np.cumsum([FIRST, FIRST, SECOND]))
+        g, h, g2, h2 = g.reshape(SKIPS, CLASSES), h.reshape(SKIPS, CLASSES), g2.reshape(ENDINGS, MEMBERS), h2.reshape(ENDINGS, MEMBERS)
+        new.skip, new.bias, new.kind = newton(w.skip, g, h), newton(w.bias, g.sum(0), h.sum(0)), newton(w.kind, g2, h2)
+        shared.unpersist()
+        w = new
     return w
 
 
+def tables(w: Weights) -> tuple[np.ndarray, np.ndarray]:
+    """Natural logs of the probability of each cell: of classes and of members."""
+    return tuple(np.concatenate([_log_softmax(w.logits(slice(k, min(KINDS, k + BLOCK)))[j]).astype(np.float32).ravel() for k in range(0, KINDS, BLOCK)]) for j in range(2))
+
+
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = combined(shared.value)
+        first, second = tables(shared.value)
         for batch in batches:
-            seqs = batch.column("classes").to_pylist()
+            seqs = batch.column("leaves").to_pylist()
             out = []
             for i in range(0, len(seqs), 400):
-                codes, classes, ends = _contexts(seqs[i : i + 400])
-                own = np.empty(len(classes))
-                for a in range(0, len(own), BATCH):
-                    own[a : a + BATCH] = log_probabilities(tables, [c[a : a + BATCH] for c in codes], classes[a : a + BATCH])
+                before, skipped, leaf, ends = _contexts(seqs[i : i + 400])
+                a, b, inner = _cells(before, skipped, leaf)
+                own = first[a].astype(np.float64)
+                own[inner] += second[b[inner]]
                 out.append(np.add.reduceat(own, np.concatenate(([0], ends[:-1]))) / np.log(10))
             names = ["rid", "doc_id", "held_out", "n_tokens", "n_known", "logs", "totals"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(np.concatenate(out) if out else np.empty(0))], [*names, "class_score"])
+        give_back()
 
     return run
 
@@ -361,20 +420,24 @@ def score(docs: DataFrame, frequent: int = FREQUENT, rounds: int = ROUNDS) -> Da
     Learns from rows whose crc32 of doc_id modulo 10 is not 0 (null id: the empty text,
     so held out). Null text: empty, one end token. Repeated rows count and score each.
     With nothing to learn from, every token is unknown. Other columns are left out; an
-    empty table stays empty. Whole texts; no count or document is left out.
+    empty table stays empty. Whole texts; no count or document is left out. However the
+    table is partitioned, scores agree up to rounding.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (remainder("doc_id", 10) == 0).alias("held_out"))
     counts, _ = materialise(count_words(rows.filter(~F.col("held_out"))), "counts")
-    vocab, mass = vocabulary(counts, frequent)
+    vocab = vocabulary(counts, frequent)
     shared = spark.sparkContext.broadcast(vocab)
     coded, _ = materialise(rows.select("doc_id", "text", "held_out").mapInArrow(_encode(shared), _CODED), "coded")
-    weights = train(coded, mass, rounds)
+    contexts, at = materialise(count_contexts(coded), "contexts")
+    weights = train(contexts, rounds)
+    release(spark, at)
     rare = coded.select("rid", F.explode("rare").alias("r")).select("rid", F.col("r.word").alias("word"), F.col("r.n").alias("n"))
     # Many rows hold one rare word at most a few times; the frequent ones never get here.
     found = rare.join(counts, "word", "left").select("rid", "n", F.coalesce("c", F.lit(0)).alias("c"))
     per_doc = found.groupBy("rid").agg(F.sum(F.col("n") * F.log10(F.col("c") + SMOOTH)).alias("rare_logs"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"))
-    scored = coded.select("rid", "doc_id", "held_out", "n_tokens", "n_known", "logs", "totals", "classes").mapInArrow(
+    scored = coded.select("rid", "doc_id", "held_out", "n_tokens", "n_known", "logs", "totals", "leaves").mapInArrow(
         _score(spark.sparkContext.broadcast(weights)), "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, totals double, class_score double"
     )
     out = scored.join(per_doc, "rid", "left")

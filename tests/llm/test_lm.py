@@ -63,44 +63,94 @@ def test_odd_documents(spark, odd_docs):
     check(lone, [row])
 
 
-def test_probabilities_add_up(spark):
-    """Over all known words, the end and, for each ending class, its unknown words."""
-    docs = spark.createDataFrame([(i, "a b c der die das a a b xyz qrs tuv " * 3 + f"w{i}") for i in range(1, 30)], "doc_id long, text string")
+def test_shares_add_up(spark):
+    """Of each leaf: over its known words and, if hashed, its unknown ones."""
+    docs = spark.createDataFrame([(i, "a b c der die das a a b xyz qrs tuv " * 3 + f"w{i} " + " ".join(f"v{j}ab" for j in range(50 + i))) for i in range(1, 30)], "doc_id long, text string")
     counts = lm.count_words(docs)
-    vocab, mass = lm.vocabulary(counts, 1000)
-    assert mass.sum() == vocab.n == sum(r.c for r in counts.collect())
-    share = np.zeros(lm.CLASSES)
+    vocab = lm.vocabulary(counts, 1000)
+    assert vocab.n == sum(r.c for r in counts.collect())
+    share = np.zeros(lm.LEAVES)
     for w, i in vocab.words.items():
-        k = vocab.classes[i]
-        share[k] += 10 ** (vocab.logs[i] - vocab.log_totals[k]) if k > lm.SINGLES else 1
-    share[lm.SINGLES + 1 :] += lm.SMOOTH / 10 ** vocab.log_totals[lm.SINGLES + 1 :]
-    used = np.unique(vocab.classes)
-    assert np.allclose(share[used], 1) and np.allclose(share[lm.SINGLES + 1 :], 1)
-
-
-def test_updates_are_the_gradient():
-    """One step against a plain sum over tokens and features."""
-    rng = np.random.default_rng(0)
-    seqs = [bytes(rng.integers(0, lm.CLASSES, 40, dtype=np.uint8)) for _ in range(5)]
-    codes, classes, ends = lm._contexts(seqs)
-    assert ends[-1] == len(classes) == 200
-    w = rng.normal(size=(lm.ROWS, lm.CLASSES)).astype(np.float32) * 0.1
-    rows = []
-    for s in seqs:
-        line = [lm.START] * lm.BACK + list(s)
-        for t in range(lm.BACK, len(line)):
-            r = [k * lm._KINDS + line[t - k - 1] for k in range(lm.BACK)]
-            rows.append(r + [int(h[line[t - a] * lm._KINDS + line[t - b]]) for h, (a, b) in zip(lm._HASHED, lm.PAIRS, strict=True)] + [lm.ROWS - 1])
-    z = np.stack([w[r].sum(0) for r in rows]).astype(np.float64)
-    logp = z - np.log(np.exp(z).sum(1, keepdims=True))
-    own = np.arange(len(z)), classes
-    assert np.allclose(lm.log_probabilities(lm.combined(w), codes, classes), logp[own], atol=1e-4)
-    g = np.exp(logp)
-    g[own] -= 1
-    grad = np.zeros(w.shape)
-    for r, x in zip(rows, g, strict=True):
-        grad[r] += x
-    heat, used, moved = np.zeros_like(w), np.zeros(lm.ROWS), w.copy()
-    lm._updates(moved, heat, used, codes, classes)
-    assert np.allclose(moved, w - lm.RATE * grad / np.sqrt(grad**2 + 1), atol=1e-3)
-    assert used.sum() == len(rows) * len(rows[0])
+        k = vocab.leaves[i]
+        share[k] += 1 if lm._SINGLE[k] else 10 ** (vocab.logs[i] - vocab.log_totals[k])
+    hashed = ~lm._SINGLE
+    share[hashed] += lm.SMOOTH / 10 ** vocab.log_totals[hashed]
+    used = np.unique(vocab.leaves)
+    assert np.allclose(share[used], 1) and np.allclose(share[hashed], 1) and (used >= lm.ALONE).any() and hashed[used].any()
+
+
+def test_probabilities_add_up():
+    rng = np.random.default_rng(1)
+    w = lm.Weights(*(rng.normal(size=x.shape) for x in vars(lm.Weights.zero()).values()))
+    first, second = lm.tables(w)
+    assert np.allclose(np.exp(first.reshape(-1, lm.CLASSES)).sum(1), 1, atol=1e-4) and np.allclose(np.exp(second.reshape(-1, lm.MEMBERS)).sum(1), 1, atol=1e-4)
+
+
+def brute_scores(rows, rounds):
+    """The whole model in loops over tokens: leaves, features, training and scores."""
+    texts = {r.doc_id: [*words(r.text), b""] for r in rows}
+    training = [d for d in texts if zlib.crc32(str(d).encode()) % 10 != 0]
+    counts = Counter(w for d in training for w in texts[d])
+    alone, heads, leaf = [b""], defaultdict(list), {}
+    for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0])):
+        if w and len(alone) < 40:
+            alone.append(w)
+        elif w and len(heads[zlib.crc32(w[-2:]) % 24]) < 40:
+            heads[zlib.crc32(w[-2:]) % 24].append(w)
+    place = {w: ("alone", i) for i, w in enumerate(alone)} | {w: (k, i) for k, own in heads.items() for i, w in enumerate(own)}
+
+    def leaf_of(w):
+        return place.get(w) or (zlib.crc32(w[-2:]) % 24, 40 + zlib.crc32(w) % 24)
+
+    mass, kinds = Counter(), Counter()
+    for w, c in counts.items():
+        mass[leaf_of(w)] += c
+        kinds[leaf_of(w)] += 1
+    klass = lambda x: 64 if x == "start" else x[1] if x[0] == "alone" else 40 + x[0]
+
+    def tokens_of(d):
+        line = ["start", "start", *(leaf_of(w) for w in texts[d])]
+        for t in range(2, len(line)):
+            one, skip, x = line[t - 1], klass(line[t - 2]), line[t]
+            yield ("class",), [("bias",), ("skip", skip), ("word", one), ("pair", one, skip * 40503 // 16 % 16)], klass(x)
+            if x[0] != "alone":
+                yield ("member",), [("kind", x[0]), ("inner", one, x[0])], x[1]
+
+    w = defaultdict(lambda: np.zeros(64))
+    seen = [x for d in training for x in tokens_of(d)]
+    for _ in range(rounds):
+        g, h = defaultdict(lambda: np.zeros(64)), defaultdict(lambda: np.zeros(64))
+        for _, features, y in seen:
+            p = np.exp(sum(w[f] for f in features))
+            p /= p.sum()
+            for f in features:
+                g[f] += p
+                g[f][y] -= 1
+                h[f] += p * (1 - p)
+        for f in g:
+            w[f] = w[f] - np.clip(0.5 * (g[f] + 2 * w[f]) / (h[f] + 2), -1, 1)
+    out = {}
+    for d in texts:
+        total = 0.0
+        for _, features, y in tokens_of(d):
+            z = sum(w[f] for f in features)
+            total += (z[y] - math.log(np.exp(z).sum())) / math.log(10)
+        for x in texts[d]:
+            k = leaf_of(x)
+            if k[0] != "alone" and k[1] >= 40:
+                total += math.log10((counts[x] + 0.1) / (mass[k] + 0.1 * (kinds[k] + 1)))
+        out[d] = total
+    return out
+
+
+def test_scores_against_brute_force(spark, documents):
+    docs = documents.filter("doc_id IS NOT NULL").orderBy("doc_id").limit(40).withColumn("text", F.substring("text", 1, 700))
+    rows = docs.collect()
+    got = {r.doc_id: r.score for r in lm.score(spark.createDataFrame(rows, docs.schema), rounds=3).collect()}
+    want = brute_scores(rows, 3)
+    assert len(got) == 40 and all(math.isclose(got[d], want[d], rel_tol=1e-4, abs_tol=1e-4) for d in want)
+
+
+def test_scores_do_not_depend_on_partitions(documents):
+    a, b = ({r.doc_id: r.score for r in lm.score(d, rounds=4).collect()} for d in (documents, documents.repartition(5)))
+    assert a.keys() == b.keys() and all(math.isclose(a[d], b[d], rel_tol=1e-6) for d in a)

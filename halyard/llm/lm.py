@@ -43,7 +43,7 @@ KINDS, SKIPS = LEAVES + 1, CLASSES + 1
 SLOTS = 16  # hashed pairs of a word and a skipped class, for each word
 #: Words that every task holds; the counts of the others are joined.
 FREQUENT = 200_000
-ROUNDS, RATE, PRIOR, FARTHEST = 10, 0.5, 2.0, 1.0
+ROUNDS, RATE, PRIOR, FARTHEST, PULL = 4, 0.5, 2.0, 1.0, 20.0
 BLOCK = 50  # words of context in one row of the counts
 SALTS = 64
 LOT = 8_000_000
@@ -302,21 +302,34 @@ def count_contexts(coded: DataFrame) -> DataFrame:
 
 
 @dataclass
-class Weights:
+class Shared:
+    """The weights that all blocks share."""
+
     bias: np.ndarray  # (classes)
     skip: np.ndarray  # (skipped class, classes)
+    kind: np.ndarray  # (ending class, members)
+
+
+@dataclass
+class Own:
+    """The weights of some words of context: 13 MB for all of them."""
+
     word: np.ndarray  # (word before, classes)
     pair: np.ndarray  # (word before, slot of the skipped class, classes)
-    kind: np.ndarray  # (ending class, members)
     inner: np.ndarray  # (word before, ending class, members)
 
+    def bytes(self) -> bytes:
+        return np.concatenate([x.ravel() for x in (self.word, self.pair, self.inner)]).astype(np.float32).tobytes()
+
     @classmethod
-    def zero(cls) -> Weights:
-        return cls(np.zeros(CLASSES), np.zeros((SKIPS, CLASSES)), np.zeros((KINDS, CLASSES)), np.zeros((KINDS, SLOTS, CLASSES)), np.zeros((ENDINGS, MEMBERS)), np.zeros((KINDS, ENDINGS, MEMBERS)))
+    def of(cls, raw: bytes, many: int) -> Own:
+        parts = np.split(np.frombuffer(raw, np.float32), np.cumsum([many * CLASSES, many * SLOTS * CLASSES]))
+        return cls(*(x.reshape(many, *shape) for x, shape in zip(parts, ((CLASSES,), (SLOTS, CLASSES), (ENDINGS, MEMBERS)), strict=True)))
 
-    def logits(self, of: slice) -> tuple[np.ndarray, np.ndarray]:
-        """For words before: (word, skipped class, class) and (word, ending class, member)."""
-        return self.bias + self.skip + self.word[of, None, :] + self.pair[of][:, _SLOT, :], self.kind + self.inner[of]
+
+def logits(own: Own, all_: Shared) -> tuple[np.ndarray, np.ndarray]:
+    """(word before, skipped class, class) and (word before, ending class, member)."""
+    return all_.bias + all_.skip + own.word[:, None, :] + own.pair[:, _SLOT, :], all_.kind + own.inner
 
 
 def _log_softmax(z: np.ndarray) -> np.ndarray:
@@ -331,73 +344,107 @@ def newton(w: np.ndarray, gradient: np.ndarray, curvature: np.ndarray) -> np.nda
     return w - np.clip(step, -FARTHEST, FARTHEST)
 
 
+def _many(block: int) -> int:
+    return min(KINDS, (block + 1) * BLOCK) - block * BLOCK
+
+
+def _seen(block: int, cells: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of a block: (word before, skipped class, class) and (word before, ending class, member)."""
+    many = _many(block)
+    dense = np.zeros(many * (FIRST + SECOND))
+    dense[np.frombuffer(cells, np.int32)] = np.frombuffer(counts, np.int64)
+    return dense[: many * FIRST].reshape(many, SKIPS, CLASSES), dense[many * FIRST :].reshape(many, ENDINGS, MEMBERS)
+
+
+def _totals(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in parts:
+        out = []
+        for row in zip(pdf["block"], pdf["cells"], pdf["counts"], strict=True):
+            first, second = _seen(*row)
+            out.append((row[0], np.concatenate((first.sum((0, 1)), second.sum(0).ravel())).tobytes()))
+        yield pd.DataFrame(out, columns=["block", "common"])
+
+
+def _summed(rows: pd.DataFrame) -> np.ndarray:
+    """The sums of all blocks, in their order."""
+    return np.sum([np.frombuffer(x) for x in rows.sort_values("block")["common"]], 0)
+
+
 def _step(shared):
-    """New weights of a block's own features; gradient and curvature of those that blocks share."""
+    """A block with the new weights of its own features, and the gradient and curvature of
+    those that blocks share. A block without weights starts from its smoothed shares."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w: Weights = shared.value
+        all_: Shared = shared.value
+        slots = np.eye(SLOTS)[_SLOT]  # (skipped class, slot)
         for pdf in parts:
             out = []
-            for block, cells, counts in zip(pdf["block"], pdf["cells"], pdf["counts"], strict=True):
-                of = slice(block * BLOCK, min(KINDS, (block + 1) * BLOCK))
-                many = of.stop - of.start
-                dense = np.zeros(BLOCK * (FIRST + SECOND))
-                dense[np.frombuffer(cells, np.int32)] = np.frombuffer(counts, np.int64)
-                # A short last block has fewer cells of classes, after which its members come.
-                first, second = dense[: many * FIRST].reshape(many, SKIPS, CLASSES), dense[many * FIRST : many * (FIRST + SECOND)].reshape(many, ENDINGS, MEMBERS)
+            for block, cells, counts, raw in zip(pdf["block"], pdf["cells"], pdf["counts"], pdf["own"], strict=True):
+                seen = _seen(block, cells, counts)
+                if raw:
+                    own = Own.of(raw, _many(block))
+                else:
+                    starts = [np.log((n + PULL * np.exp(q)) / (n.sum(-1, keepdims=True) + PULL)) - q for n, q in ((seen[0].sum(1), _log_softmax(all_.bias)), (seen[1], _log_softmax(all_.kind)))]
+                    own = Own(starts[0], np.zeros((_many(block), SLOTS, CLASSES)), starts[1])
                 slopes = []
-                for seen, z in zip((first, second), w.logits(of), strict=True):
-                    p, n = np.exp(_log_softmax(z)), seen.sum(-1, keepdims=True)
-                    slopes.append((n * p - seen, n * p * (1 - p)))
+                for found, z in zip(seen, logits(own, all_), strict=True):
+                    p, n = np.exp(_log_softmax(z)), found.sum(-1, keepdims=True)
+                    slopes.append((n * p - found, n * p * (1 - p)))
                 (g, h), (g2, h2) = slopes
-                slots = np.eye(SLOTS)[_SLOT]  # (skipped class, slot)
-                own = (
-                    newton(w.word[of], g.sum(1), h.sum(1)),
-                    newton(w.pair[of], *(np.einsum("ks,wkc->wsc", slots, x) for x in (g, h))),
-                    newton(w.inner[of], g2, h2),
-                )
-                common = [x for k in ((g, h), (g2, h2)) for x in (y.sum(0) for y in k)]
-                out.append((block, np.concatenate([x.ravel() for x in own]).astype(np.float32).tobytes(), np.concatenate([x.ravel() for x in common]).tobytes()))
-            yield pd.DataFrame(out, columns=["block", "own", "common"])
+                new = Own(newton(own.word, g.sum(1), h.sum(1)), newton(own.pair, *(np.einsum("ks,wkc->wsc", slots, x) for x in (g, h))), newton(own.inner, g2, h2))
+                common = np.concatenate([x.sum(0).ravel() for x in (g, h, g2, h2)])
+                out.append((block, cells, counts, new.bytes(), common.tobytes()))
+            yield pd.DataFrame(out, columns=["block", "cells", "counts", "own", "common"])
 
     return run
 
 
-def train(counts: DataFrame, rounds: int = ROUNDS) -> Weights:
-    """Weights from the table of ``count_contexts``. Each round reads all of it; the weights
-    of the blocks, a bounded number, reach the driver, and shared ones are summed in order of block."""
+def train(counts: DataFrame, rounds: int = ROUNDS) -> tuple[Shared, Own]:
+    """Weights from the table of ``count_contexts``. Each round reads all of it and writes it
+    with the blocks' new weights; what blocks share, some 100 KB a block, reaches the driver."""
     spark = counts.sparkSession
-    w = Weights.zero()
+    first = counts.mapInPandas(_totals, "block int, common binary").toPandas()
+    everywhere = Own(np.zeros((KINDS, CLASSES), np.float32), np.zeros((KINDS, SLOTS, CLASSES), np.float32), np.zeros((KINDS, ENDINGS, MEMBERS), np.float32))
+    all_ = Shared(np.zeros(CLASSES), np.zeros((SKIPS, CLASSES)), np.zeros((ENDINGS, MEMBERS)))
+    if not len(first):
+        return all_, everywhere
+    total = _summed(first)
+    all_.bias = np.log((total[:CLASSES] + 1) / (total[:CLASSES].sum() + CLASSES))
+    members = total[CLASSES:].reshape(ENDINGS, MEMBERS)
+    all_.kind = np.log((members + 1) / (members.sum(1, keepdims=True) + MEMBERS))
+    state, at = counts.select("block", "cells", "counts", F.lit(b"").alias("own")), None
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(w)
-        got = counts.select("block", "cells", "counts").mapInPandas(_step(shared), "block int, own binary, common binary").toPandas().sort_values("block")
-        if not len(got):
-            break
-        new = Weights.zero()
-        new.word, new.pair, new.inner = w.word.copy(), w.pair.copy(), w.inner.copy()
-        total = np.zeros(2 * FIRST + 2 * SECOND)
-        for block, own, common in zip(got["block"], got["own"], got["common"], strict=True):
-            of = slice(block * BLOCK, min(KINDS, (block + 1) * BLOCK))
-            many, flat = of.stop - of.start, np.frombuffer(own, np.float32).astype(np.float64)
-            sizes = np.cumsum([many * CLASSES, many * SLOTS * CLASSES])
-            new.word[of], new.pair[of], new.inner[of] = (x.reshape(many, *shape) for x, shape in zip(np.split(flat, sizes), ((CLASSES,), (SLOTS, CLASSES), (ENDINGS, MEMBERS)), strict=True))
-            total += np.frombuffer(common)
-        g, h, g2, h2 = np.split(total, np.cumsum([FIRST, FIRST, SECOND]))
-        g, h, g2, h2 = g.reshape(SKIPS, CLASSES), h.reshape(SKIPS, CLASSES), g2.reshape(ENDINGS, MEMBERS), h2.reshape(ENDINGS, MEMBERS)
-        new.skip, new.bias, new.kind = newton(w.skip, g, h), newton(w.bias, g.sum(0), h.sum(0)), newton(w.kind, g2, h2)
-        shared.unpersist()
-        w = new
-    return w
-
-
-def tables(w: Weights) -> tuple[np.ndarray, np.ndarray]:
+        shared = spark.sparkContext.broadcast(all_)
+        old, (state, new) = at, materialise(state.select("block", "cells", "counts", "own").mapInPandas(_step(shared), "block int, cells binary, counts binary, own binary, common binary"), "weights")
+        g, h, g2, h2 = np.split(_summed(state.select("block", "common").toPandas()), np.cumsum([FIRST, FIRST, SECOND]))
+        g, h = (x.reshape(SKIPS, CLASSES) for x in (g, h))
+        g2, h2 = (x.reshape(ENDINGS, MEMBERS) for x in (g2, h2))
+        all_ = Shared(newton(all_.bias, g.sum(0), h.sum(0)), newton(all_.skip, g, h), newton(all_.kind, g2, h2))
+        shared.destroy()
+        if old:
+            release(spark, old)
+        at = new
+    if rounds:
+        for block, raw in state.select("block", "own").toPandas().itertuples(index=False):
+            own, of = Own.of(raw, _many(block)), slice(block * BLOCK, block * BLOCK + _many(block))
+            everywhere.word[of], everywhere.pair[of], everywhere.inner[of] = own.word, own.pair, own.inner
+        release(spark, at)
+    return all_, everywhere
+
+
+def tables(all_: Shared, own: Own) -> tuple[np.ndarray, np.ndarray]:
     """Natural logs of the probability of each cell: of classes and of members."""
-    return tuple(np.concatenate([_log_softmax(w.logits(slice(k, min(KINDS, k + BLOCK)))[j]).astype(np.float32).ravel() for k in range(0, KINDS, BLOCK)]) for j in range(2))
+    out: tuple[list, list] = ([], [])
+    for k in range(0, KINDS, BLOCK):
+        part = Own(own.word[k : k + BLOCK], own.pair[k : k + BLOCK], own.inner[k : k + BLOCK])
+        for held, z in zip(out, logits(part, all_), strict=True):
+            held.append(_log_softmax(z).astype(np.float32).ravel())
+    return np.concatenate(out[0]), np.concatenate(out[1])
 
 
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = tables(shared.value)
+        first, second = tables(*shared.value)
         for batch in batches:
             seqs = batch.column("leaves").to_pylist()
             out = []

@@ -81,8 +81,9 @@ def test_shares_add_up(spark):
 
 def test_probabilities_add_up():
     rng = np.random.default_rng(1)
-    w = lm.Weights(*(rng.normal(size=x.shape) for x in vars(lm.Weights.zero()).values()))
-    first, second = lm.tables(w)
+    draw = lambda *shape: rng.normal(size=shape)
+    own = lm.Own(draw(lm.KINDS, lm.CLASSES), draw(lm.KINDS, lm.SLOTS, lm.CLASSES), draw(lm.KINDS, lm.ENDINGS, lm.MEMBERS))
+    first, second = lm.tables(lm.Shared(draw(lm.CLASSES), draw(lm.SKIPS, lm.CLASSES), draw(lm.ENDINGS, lm.MEMBERS)), own)
     assert np.allclose(np.exp(first.reshape(-1, lm.CLASSES)).sum(1), 1, atol=1e-4) and np.allclose(np.exp(second.reshape(-1, lm.MEMBERS)).sum(1), 1, atol=1e-4)
 
 
@@ -118,6 +119,16 @@ def brute_scores(rows, rounds):
 
     w = defaultdict(lambda: np.zeros(64))
     seen = [x for d in training for x in tokens_of(d)]
+    n = defaultdict(lambda: np.zeros(64))
+    for _, features, y in seen:
+        for f in features:
+            n[f][y] += 1
+    for f in [f for f in n if f[0] in ("bias", "kind")]:
+        w[f] = np.log((n[f] + 1) / (n[f].sum() + 64))
+    for f in [f for f in n if f[0] in ("word", "inner")]:
+        q = w["bias",] if f[0] == "word" else w["kind", f[2]]
+        q = q - math.log(np.exp(q).sum())
+        w[f] = np.log((n[f] + 20 * np.exp(q)) / (n[f].sum() + 20)) - q
     for _ in range(rounds):
         g, h = defaultdict(lambda: np.zeros(64)), defaultdict(lambda: np.zeros(64))
         for _, features, y in seen:

@@ -161,7 +161,7 @@ def test_judge_leaves_doubt_to_the_whole_sets():
     says = []
     for share in (0.3, 0.8, 0.99):
         both = rng.integers(0, 1 << 63, 4000).astype(np.uint64) << np.uint64(1)
-        n = int(len(both) * 2 / (1 + share))  # of each set; ``both`` is their union
+        n = int(len(both) * (1 + share) / 2)  # of each set; ``both`` is their union
         x, y = np.unique(both[:n]), np.unique(both[len(both) - n :])
         says.append(copies.judge(cut(x), cut(y), len(x), len(y)))
     assert says == [0, 2, 1]

@@ -165,8 +165,8 @@ def test_judge_leaves_doubt_to_the_whole_sets():
         x, y = np.unique(both[:n]), np.unique(both[len(both) - n :])
         says.append(copies.judge(cut(x), cut(y), len(x), len(y)))
     assert says == [0, 2, 1]
-    one = np.arange(10, dtype=np.uint64) << np.uint64(40)
-    assert copies.judge(cut(one), cut(one), 10, 10) == 1 and copies.judge(cut(one), cut(one[:5]), 10, 5) == 0
+    one = np.arange(100, dtype=np.uint64) << np.uint64(40)
+    assert copies.judge(cut(one), cut(one), 100, 100) == 1 and copies.judge(cut(one), cut(one[:50]), 100, 50) == 0
 
 
 def test_names_of_helpers(spark):

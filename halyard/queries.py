@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import suppress
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,10 @@ from pyspark.sql import functions as F
 
 from halyard import functions as H
 from halyard import schemas
-from halyard.config import shared_dir
+from halyard.config import Lake, Run, shared_dir
 from halyard.operators import merge, quality, star, versions
-from halyard.plans import reports
+from halyard.plans import gold, reports, silver
+from halyard.plans.audit import SKIPPED, AuditLog
 from halyard.sources import files, loads, synthetic
 from halyard.streaming import ingest
 
@@ -602,3 +604,185 @@ def generated_sources(spark, d):
 def generated_bundle(spark, d):
     resources = files.unnest(synthetic.fhir_bundle(spark, 50, 2))
     return resources.groupBy(F.col("resourceType").alias("kind")).agg((F.count("*") >= 50).alias("some"))
+
+
+# ---- sinks and the star schema ----------------------------------------------------------
+
+
+def _lake(spark: SparkSession) -> Lake:
+    return Lake(_work(spark))
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS facility_id, c_name AS facility_name, CAST(NULL AS VARCHAR) AS city, c_mktsegment AS surprise FROM customer")
+def csv_scan(spark, d):
+    """A CSV file set with a column too few and one too many."""
+    at = _work(spark)
+    c = t(spark, d, "customer").select(F.col("c_mktsegment").alias("surprise"), F.col("c_name").alias("facility_name"), F.col("c_custkey").alias("facility_id"))
+    c.write.option("header", True).csv(at)
+    return files.read_csv(spark, at, "facility_info").select("facility_id", "facility_name", "city", "surprise")
+
+
+@query("""SELECT 'build_a' AS pipeline_name, 'SUCCESS' AS execution_status, CAST(NULL AS VARCHAR) AS error_code, count(*) AS rows_read FROM orders
+  UNION ALL SELECT 'build_b', 'SKIPPED', NULL, 0 UNION ALL SELECT 'build_c', 'FAILED', 'ValueError', count(*) FROM customer""")
+def audit_sink(spark, d):
+    """Three steps of a run, as the audit log holds them."""
+    log = AuditLog(spark, files.Table(spark, _lake(spark).path("metadata", "audit")))
+    with log.step(RUN, "build_a", "orders", "GOLD") as entry:
+        entry.rows_read = t(spark, d, "orders").count()
+    with log.step(RUN, "build_b", "none", "GOLD") as entry:
+        entry.status = SKIPPED
+    with suppress(ValueError), log.step(RUN, "build_c", "customer", "GOLD") as entry:
+        entry.rows_read = t(spark, d, "customer").count()
+        raise ValueError("stopped")
+    return log.table.read().select("pipeline_name", "execution_status", "error_code", "rows_read")
+
+
+def _claims(spark, d):
+    """Orders as claims in text; the cheap ones have negative amounts."""
+    text = lambda c: F.col(c).cast("string")
+    amount = (money("o_totalprice") - F.lit(50_000).cast("decimal(18,2)")).cast("decimal(18,2)")
+    return t(spark, d, "orders").select(text("o_orderkey").alias("claim_id"), text("o_custkey").alias("patient_id"), (F.col("o_orderkey") % 30).cast("string").alias("facility_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("service_date"), amount.cast("string").alias("claim_amount"), F.lit("1.50").alias("paid_amount"), F.col("o_orderstatus").alias("claim_status"), F.lit(None).cast("string").alias("insurance_type"))
+
+
+def _silver_claims(spark, d) -> Lake:
+    lake = _lake(spark)
+    files.Table(spark, lake.path("bronze", "bronze_claims")).overwrite(_claims(spark, d))
+    silver.build(spark, lake, "silver_claims", Run(RUN, AS_OF), AuditLog(spark, files.Table(spark, lake.path("metadata", "audit"))))
+    return lake
+
+
+_AMOUNT = "CAST(o_totalprice AS DECIMAL(18,2)) - 50000"
+
+
+@query(f"SELECT CAST(o_orderkey AS VARCHAR) AS record_identifier, 'silver_claims' AS source_name, 'RANGE:claim_amount' AS failed_rule, 'PENDING' AS resolution_status FROM orders WHERE {_AMOUNT} < 0")
+def quarantine_sink(spark, d):
+    """What a Silver build left in the quarantine log."""
+    lake = _silver_claims(spark, d)
+    return files.Table(spark, lake.path("metadata", "quarantine_records")).read().select("record_identifier", "source_name", "failed_rule", "resolution_status")
+
+
+@query(f"SELECT CAST(o_orderkey AS VARCHAR) AS claim_id, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS service_date, CAST({_AMOUNT} AS DOUBLE) AS claim_amount FROM orders WHERE {_AMOUNT} >= 0")
+def silver_build(spark, d):
+    lake = _silver_claims(spark, d)
+    return files.Table(spark, lake.path("silver", "silver_claims")).read().select("claim_id", F.col("service_date").cast("string").alias("service_date"), F.col("claim_amount").cast("double").alias("claim_amount"))
+
+
+#: Days since 1995 on which a customer was last changed: the start of the patient's version.
+_SINCE, _SINCE_SQL = "timestamp_ntz'1995-01-01 00:00:00' + make_dt_interval(cast(c_custkey % 2000 as int))", "TIMESTAMP '1995-01-01 00:00:00' + INTERVAL 1 DAY * (c_custkey % 2000)"
+
+
+def _silver_rows(spark, d, name: str) -> DataFrame:
+    """The driver's tables in the form of a Silver table."""
+    s = lambda x: f"cast({x} as string)"
+    visit = (f"{s('o_orderkey')} AS encounter_id", f"{s('o_custkey')} AS patient_id", "cast(o_orderdate as timestamp) AS {}", "xxhash64(o_orderkey) AS record_hash", "cast(o_orderdate as timestamp) AS updated_at")
+    at = lambda c: [x.format(c) for x in visit]
+    rows = {
+        "silver_patients": ("customer", [f"{s('c_custkey')} AS patient_id", "c_name AS first_name", *(f"cast(null as {'date' if c == 'date_of_birth' else 'string'}) AS {c}" for c in schemas.PATIENT_ATTRIBUTES if c != "first_name"), f"cast({_SINCE} as timestamp) AS updated_at", "c_acctbal < -900 AS is_deleted"]),
+        "silver_providers": ("supplier", [f"{s('s_suppkey')} AS provider_id", "s_name AS last_name", "cast(date'2024-01-01' as timestamp) AS updated_at", "s_name AS record_hash"]),
+        "silver_facilities": ("nation", [f"{s('n_nationkey')} AS facility_id", "n_name AS facility_name", "n_name AS record_hash"]),
+        "silver_encounters": ("orders", [*at("admission_timestamp"), f"{s('o_orderkey % 13')} AS provider_id", f"{s('o_orderkey % 30')} AS facility_id", "o_orderpriority AS department_id", "o_orderstatus AS encounter_type", "cast(o_orderdate + make_dt_interval(cast(o_orderkey % 9 as int)) as timestamp) AS discharge_timestamp", "cast(null as string) AS discharge_disposition"]),
+        "silver_lab_results": ("orders", [*at("order_timestamp"), f"{s('o_orderkey')} AS lab_result_id", "o_orderpriority AS loinc_code", "o_orderstatus AS test_name", "cast(o_totalprice as decimal(18,4)) AS result_value", "'mg' AS result_unit", "'N' AS abnormal_flag", "cast(o_orderdate + make_dt_interval(0, cast(o_orderkey % 40 as int)) as timestamp) AS result_timestamp"]),
+        "silver_medications": ("orders", [*at("order_timestamp"), f"{s('o_orderkey')} AS medication_order_id", "o_orderpriority AS rxnorm_code", "lower(o_orderpriority) AS medication_name", "'1' AS dosage", "'oral' AS route", "o_orderstatus AS order_status"]),
+        "silver_diagnoses": ("orders", [*at("diagnosis_timestamp"), f"{s('o_orderkey')} AS diagnosis_id", "o_orderpriority AS icd10_code", "lower(o_orderpriority) AS diagnosis_description", "o_orderstatus AS diagnosis_type"]),
+    }
+    table, columns = rows[name]
+    return t(spark, d, table).selectExpr(*columns)
+
+
+def _gold(spark, d, name: str, *sources: str) -> DataFrame:
+    """One table of the star schema, built from the named Silver tables."""
+    lake, run = (_silver_claims(spark, d) if "silver_claims" in sources else _lake(spark)), Run(RUN, AS_OF)
+    for source in sources:
+        if source != "silver_claims":
+            files.Table(spark, lake.path("silver", source)).overwrite(_silver_rows(spark, d, source))
+    audit = AuditLog(spark, files.Table(spark, lake.path("metadata", "audit")))
+    gold.build_dimensions(spark, lake, run, audit)
+    if name.startswith("fact_"):
+        gold.build_facts(spark, lake, run, audit)
+    return files.Table(spark, lake.path("gold", name)).read()
+
+
+def _numbered(key: str, sk: str, rows: str, more: str = "") -> str:
+    """SQL of a dimension: known members by hash cell and key, the unknown one beside them."""
+    return f"SELECT {key}, CAST(row_number() OVER (ORDER BY substr(md5({key}), 1, 4), {key}) AS BIGINT) AS {sk}{more} FROM ({rows})"
+
+
+_PATIENT = _numbered("version", "patient_sk", f"SELECT *, concat_ws('|', patient_id, strftime(since, '%Y-%m-%d %H:%M:%S.%f')) AS version FROM (SELECT CAST(c_custkey AS VARCHAR) AS patient_id, c_name AS first_name, {_SINCE_SQL} AS since FROM customer WHERE c_acctbal >= -900)", ", patient_id, first_name, since")
+_PROVIDER = _numbered("provider_id", "provider_sk", "SELECT CAST(s_suppkey AS VARCHAR) AS provider_id, s_name AS last_name FROM supplier", ", last_name")
+_FACILITY = _numbered("facility_id", "facility_sk", "SELECT CAST(n_nationkey AS VARCHAR) AS facility_id, n_name AS facility_name FROM nation", ", facility_name")
+_PRIORITY = "SELECT DISTINCT o_orderpriority AS {} FROM orders"
+_DEPARTMENT, _DIAGNOSIS, _MEDICATION = (_numbered(k, sk, _PRIORITY.format(k)) for k, sk in (("department_id", "department_sk"), ("icd10_code", "diagnosis_sk"), ("rxnorm_code", "medication_sk")))
+
+
+@query(f"SELECT patient_sk, patient_id, first_name, strftime(since, '%Y-%m-%d') AS started, true AS is_current FROM ({_PATIENT}) UNION ALL SELECT -1, 'UNKNOWN', NULL, '1900-01-01', true")
+def gold_patients(spark, d):
+    return _gold(spark, d, "dim_patient", "silver_patients").select("patient_sk", "patient_id", "first_name", F.date_format("effective_start_date", "yyyy-MM-dd").alias("started"), "is_current")
+
+
+@query(f"SELECT provider_sk, provider_id, last_name FROM ({_PROVIDER}) UNION ALL SELECT -1, 'UNKNOWN', NULL")
+def gold_providers(spark, d):
+    return _gold(spark, d, "dim_provider", "silver_providers").select("provider_sk", "provider_id", "last_name")
+
+
+@query(f"SELECT facility_sk, facility_id, facility_name FROM ({_FACILITY}) UNION ALL SELECT -1, 'UNKNOWN', NULL")
+def gold_facilities(spark, d):
+    return _gold(spark, d, "dim_facility", "silver_facilities").select("facility_sk", "facility_id", "facility_name")
+
+
+@query(f"SELECT diagnosis_sk, icd10_code, lower(icd10_code) AS diagnosis_description FROM ({_DIAGNOSIS}) UNION ALL SELECT -1, 'UNKNOWN', NULL")
+def gold_diagnoses(spark, d):
+    return _gold(spark, d, "dim_diagnosis", "silver_diagnoses").select("diagnosis_sk", "icd10_code", "diagnosis_description")
+
+
+@query(f"SELECT medication_sk, rxnorm_code, lower(rxnorm_code) AS medication_name FROM ({_MEDICATION}) UNION ALL SELECT -1, 'UNKNOWN', NULL")
+def gold_medications(spark, d):
+    return _gold(spark, d, "dim_medication", "silver_medications").select("medication_sk", "rxnorm_code", "medication_name")
+
+
+@query(f"SELECT department_sk, department_id, department_id AS department_name FROM ({_DEPARTMENT}) UNION ALL SELECT -1, 'UNKNOWN', NULL")
+def gold_departments(spark, d):
+    return _gold(spark, d, "dim_department", "silver_encounters").select("department_sk", "department_id", "department_name")
+
+
+def _fact_sql(columns: str, at: str = "o_orderdate", joins: str = "") -> str:
+    """SQL of a fact of orders: the patient's version at that time, other members by their keys."""
+    return f"SELECT CAST(o_orderkey AS VARCHAR) AS id, coalesce(p.patient_sk, -1) AS patient_sk, CAST(strftime({at}, '%Y%m%d') AS INTEGER) AS date_key, {columns} FROM orders LEFT JOIN ({_PATIENT}) p ON p.patient_id = CAST(o_custkey AS VARCHAR) AND p.since <= {at} {joins}"
+
+
+_WITH_PROVIDER = f"LEFT JOIN ({_PROVIDER}) r ON r.provider_id = CAST(o_orderkey % 13 AS VARCHAR)"
+_WITH_FACILITY = f"LEFT JOIN ({_FACILITY}) f ON f.facility_id = CAST(o_orderkey % 30 AS VARCHAR)"
+_VISITS = _READ.replace("o_orderdate, o_orderkey ROWS", "o_orderdate, CAST(o_orderkey AS VARCHAR) ROWS")
+
+
+@query(_fact_sql(
+    "coalesce(provider_sk, -1) AS provider_sk, coalesce(facility_sk, -1) AS facility_sk, department_sk, CAST(o_orderkey % 9 * 24 AS DOUBLE) AS hours, is_readmission_30d",
+    joins=f"{_WITH_PROVIDER} {_WITH_FACILITY} JOIN ({_DEPARTMENT}) d ON d.department_id = o_orderpriority JOIN (SELECT o_orderkey AS k, is_readmission_30d FROM ({_VISITS})) v ON v.k = o_orderkey"))
+def gold_encounters(spark, d):
+    facts = _gold(spark, d, "fact_encounter", "silver_patients", "silver_providers", "silver_facilities", "silver_encounters")
+    return facts.select(F.col("encounter_id").alias("id"), "patient_sk", F.col("admission_date_key").alias("date_key"), "provider_sk", "facility_sk", "department_sk", F.col("length_of_stay_hours").cast("double").alias("hours"), "is_readmission_30d")
+
+
+@query(_fact_sql("CAST(o_totalprice AS DECIMAL(18,4))::DOUBLE AS result_value, CAST(o_orderkey % 40 * 60 AS INTEGER) AS turnaround", "o_orderdate + INTERVAL 1 HOUR * (o_orderkey % 40)"))
+def gold_observations(spark, d):
+    facts = _gold(spark, d, "fact_observation", "silver_patients", "silver_lab_results")
+    return facts.select(F.col("observation_id").alias("id"), "patient_sk", F.col("observation_date_key").alias("date_key"), F.col("result_value").cast("double").alias("result_value"), F.col("turnaround_time_minutes").cast("int").alias("turnaround"))
+
+
+@query(_fact_sql("coalesce(provider_sk, -1) AS provider_sk, medication_sk, o_orderstatus AS order_status", joins=f"{_WITH_PROVIDER} JOIN ({_MEDICATION}) m ON m.rxnorm_code = o_orderpriority"))
+def gold_medication_orders(spark, d):
+    """An order's provider is its encounter's."""
+    facts = _gold(spark, d, "fact_medication_order", "silver_patients", "silver_providers", "silver_encounters", "silver_medications")
+    return facts.select(F.col("medication_order_id").alias("id"), "patient_sk", F.col("order_date_key").alias("date_key"), "provider_sk", "medication_sk", "order_status")
+
+
+@query(_fact_sql("diagnosis_sk, o_orderstatus AS diagnosis_type", joins=f"JOIN ({_DIAGNOSIS}) g ON g.icd10_code = o_orderpriority"))
+def gold_diagnosis_facts(spark, d):
+    facts = _gold(spark, d, "fact_diagnosis", "silver_patients", "silver_diagnoses")
+    return facts.select(F.col("diagnosis_id").alias("id"), "patient_sk", F.col("diagnosis_date_key").alias("date_key"), "diagnosis_sk", "diagnosis_type")
+
+
+@query(_fact_sql(f"coalesce(facility_sk, -1) AS facility_sk, CAST({_AMOUNT} AS DOUBLE) AS claim_amount", "date_trunc('day', o_orderdate)", f"{_WITH_FACILITY} WHERE {_AMOUNT} >= 0"))
+def gold_claims(spark, d):
+    """From text in Bronze over Silver's rules to the fact."""
+    facts = _gold(spark, d, "fact_claim", "silver_patients", "silver_facilities", "silver_claims")
+    return facts.select(F.col("claim_id").alias("id"), "patient_sk", F.col("service_date_key").alias("date_key"), "facility_sk", F.col("claim_amount").cast("double").alias("claim_amount"))

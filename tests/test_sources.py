@@ -1,4 +1,5 @@
 import json
+import uuid
 from datetime import datetime
 
 import pytest
@@ -129,3 +130,16 @@ def test_rewrite_keeps_rows_that_are_appended_meanwhile(spark, tmp_path):
 
     log.rewrite(change)
     assert sorted(r.v for r in other.read().collect()) == [10, 20]
+
+
+def test_database_source_and_sink(spark):
+    url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
+    files.write_jdbc(spark.range(100).selectExpr("id", "id % 7 AS k"), url, "facts", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    files.write_jdbc(spark.range(100, 110).selectExpr("id", "id % 7 AS k"), url, "facts")
+    whole = files.read_jdbc(spark, url, "facts")
+    assert sorted(map(tuple, whole.collect())) == [(i, i % 7) for i in range(110)]
+    parts = files.read_jdbc(spark, url, "facts", "id", (0, 110), 4)
+    assert parts.rdd.getNumPartitions() == 4 and parts.count() == 110
+    assert "PushedFilters: [*IsNotNull(k), *EqualTo(k,3)]" in whole.filter("k = 3")._jdf.queryExecution().executedPlan().toString()
+    files.write_jdbc(spark.range(2).selectExpr("id", "id AS k"), url, "facts", mode="overwrite")
+    assert files.read_jdbc(spark, url, "facts").count() == 2

@@ -38,6 +38,30 @@ def test_clusters_copies_and_ties(spark, monkeypatch):
     check(spark, rows, every=10)
 
 
+def test_rings_and_many_pivots(spark, monkeypatch):
+    """More rows than the pivots' blocks hold: rings, equal distances among them, and more pivots."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(500)] + [(500 + i, [1.0] * 6) for i in range(100)]
+    for most in (3, 1024):
+        monkeypatch.setattr(M, "PIVOTS", 2)
+        monkeypatch.setattr(M, "MAX_PIVOTS", most)
+        monkeypatch.setattr(M, "BLOCK", 20)
+        monkeypatch.setattr(M, "LEAF", 8)
+        check(spark, rows, every=10)
+
+
+def test_queries_together_and_alone():
+    rng = np.random.default_rng(6)
+    raw = np.floor(rng.normal(size=(400, 5)) * 100)
+    norms = (raw * raw).sum(1)
+    x = np.hstack([raw, np.sqrt(norms.max() - norms)[:, None]])
+    tree = M.Tree(pages_of(x), 5, norms.max())
+    q = np.hstack([raw, np.zeros((400, 1))])
+    together = tree.search_all(np.arange(400), q, 3, np.full(400, -np.inf))
+    assert together == [tree.search(i, q[i], 3) for i in range(400)]
+    assert together[7] == sorted(((float(raw[i] @ raw[7]), i) for i in range(400) if i != 7), key=lambda t: (-t[0], t[1]))[:3]
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (50, None), (100, [nan, 1.0]), (150, [inf, 1.0]), (200, [None, 1.0]), (250, []), (300, [1.0]), (7, [0.1, 0.2, 0.3]), (None, [1.0, 1.0]), (-50, [-1.0, 0.5])]
@@ -45,8 +69,26 @@ def test_odd_vectors(spark):
     check(spark, [(0, [1.0])])
     df = spark.createDataFrame([], SCHEMA)
     assert M.top_products(df).count() == 0
-    with pytest.raises(ValueError, match="exact"):
-        M.top_products(spark.createDataFrame([(0, [1e30], 0, 1, 2), (1, [1e30], 0, 1, 2)], SCHEMA))
+    doubles = SCHEMA.replace("float", "double")
+    with pytest.raises(ValueError, match="overflow"):
+        M.top_products(spark.createDataFrame([(0, [1e200], 0, 1, 2)], doubles))
+
+
+def test_large_components(spark):
+    """Products beyond a double's whole numbers, and beyond a long."""
+    rng = np.random.default_rng(8)
+    rows = [(i, (rng.integers(-(2**20), 2**20, 3) + 2.0**21).tolist()) for i in range(60)]
+    df = spark.createDataFrame([(i, v, 0, 1, 2) for i, v in rows], SCHEMA.replace("float", "double"))
+    x = [[int(256 * c) for c in v] for _, v in rows]
+    want = []
+    for i in (0, 50):
+        best = sorted((-sum(a * b for a, b in zip(x[i], y, strict=True)), j) for j, y in enumerate(x) if j != i)[:5]
+        want += [(i, r, j, -s) for r, (s, j) in enumerate(best, 1)]
+    assert any(s > 2**53 for *_, s in want)
+    assert sorted(map(tuple, M.top_products(df).collect())) == want
+    huge = M.top_products(spark.createDataFrame([(i, [v], 0, 1, 2) for i, v in enumerate([1e30, 1e30, 2e30, -1e30, 0.0])], SCHEMA))
+    top, least = 2**63 - 1, -(2**63)
+    assert sorted(map(tuple, huge.collect())) == [(0, 1, 1, top), (0, 2, 2, top), (0, 3, 4, 0), (0, 4, 3, least)]
 
 
 def test_query_against_brute_force(spark, sf_dir):
